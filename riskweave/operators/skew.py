@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 256
@@ -18,8 +18,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     is small enough to broadcast by arithmetic. The count combines map-side.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_n")).scalar()
-    return counts.filter(F.col("_n") >= total * F.lit(share)).select(*keys)
+    return _large(counts, "_n", share).select(*keys)
+
+
+def _large(counts: DataFrame, n: str, share: float) -> DataFrame:
+    """Rows of a count table that hold at least ``share`` of its total."""
+    total = counts.agg(F.sum(n).alias("_total")).scalar()
+    return counts.filter(F.col(n) >= total * F.lit(share))
 
 
 def salted_lookup(
@@ -28,6 +33,7 @@ def salted_lookup(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "left",
+    hot: DataFrame | None = None,
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -35,9 +41,11 @@ def salted_lookup(
 
     Rows of a hot key in ``many`` are spread by a hash of ``spread``; the matching
     row of ``one`` is repeated once per salt for those keys only (at most
-    ``salts / share`` extra rows). Every other key joins as usual.
+    ``salts / share`` extra rows). Every other key joins as usual. Pass ``hot``, a
+    result of :func:`hot_keys`, when the same ``many`` is joined repeatedly.
     """
-    hot = F.broadcast(hot_keys(many, keys, share).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(many, keys, share) if hot is None else hot
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
     left = many.join(hot, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -70,3 +78,19 @@ def previous_value(
     prev = F.coalesce(F.col("_prev"), F.col("_before"))
     out = [F.col(c) for c in df.columns]
     return joined.select(*out, *[prev[v].alias(f"prev_{v}") for v in values])
+
+
+def bounded_lists(
+    long: DataFrame, keys: Sequence[str], value: str, alias: str, limit: int, *counters: Column
+) -> DataFrame:
+    """Per key: exact count ``n`` (and ``counters``), and the values while ``n <= limit``.
+
+    Larger groups are never gathered: their list is null and their rows stay in
+    ``long``. The largest leave by a broadcast anti-join before any shuffle.
+    """
+    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *counters)
+    too_many = counts.filter(F.col("n") > limit)
+    hot = F.broadcast(_large(counts, "n", HOT_SHARE).filter(F.col("n") > limit).select(*keys))
+    small = long.join(hot, list(keys), "left_anti").join(too_many.select(*keys), list(keys), "left_anti")
+    lists = small.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(alias))
+    return counts.join(lists, list(keys), "left")
