@@ -25,7 +25,7 @@ def parse_text_time(c: Column | str) -> Column:
     t = F.regexp_replace(t, _SLASHED, "$1-$2-$3")
     t = F.regexp_replace(t, _COMPACT, "$1-$2-$3")
     zoned = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), t.try_cast("timestamp").cast("timestamp_ntz")
+        F.current_timezone(), F.lit("UTC"), t.try_cast("timestamp_ltz").cast("timestamp_ntz")
     )
     ts = F.when(t.rlike(_ZONE), zoned).otherwise(t.try_cast("timestamp_ntz"))
     return F.when(ts.between(_ntz(MIN_TIME), _ntz(MAX_TIME)), ts)

@@ -71,14 +71,14 @@ _CONTACT = Feed(
 )
 
 
-def _case(prefix: str) -> Feed:
+def _case(prefix: str, source: str) -> Feed:
     return Feed(
         {
             "case_key": _case_key(prefix),
             "identity_no": _key("c_identity_no"),
             "register_phone": _key("c_register_phone_no"),
             "contact_phone": _key("c_contact_phone_no"),
-            "source": lambda df: F.lit(prefix),
+            "source": lambda df: F.lit(source),
             "ts": _time("d_update"),
         },
         ("ts", "case_key"),
@@ -172,8 +172,8 @@ FEEDS: dict[str, Feed] = {
         ("uid", "ts", "company_name"),
         "modify_date",
     ),
-    "complaint": _case("complaint"),
-    "consumer_protection_case": _case("consumer"),
+    "complaint": _case("complaint", "complaint"),
+    "consumer_protection_case": _case("consumer", "consumer_protection_case"),
     "blacklist_log": Feed(
         {
             "uid": _key("c_customer_no"),
