@@ -11,6 +11,7 @@ from riskweave.operators.graph import Graph, build_graph
 from riskweave.session import scratch_path
 
 _GRAPHS: dict[tuple[str, str], str] = {}
+_ROWS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def feed(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -18,8 +19,12 @@ def feed(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
 
 
 def rows(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    cut = rules.BLACKLIST_CUT if dataset == "blacklist_log" else None
-    return valid_rows(dataset, feed(spark, sf_dir, dataset), cut)
+    """Cleaned rows of a feed; the plan is made once, the data is not held."""
+    known = (spark.sparkContext.applicationId, sf_dir, dataset)
+    if known not in _ROWS:
+        cut = rules.BLACKLIST_CUT if dataset == "blacklist_log" else None
+        _ROWS[known] = valid_rows(dataset, feed(spark, sf_dir, dataset), cut)
+    return _ROWS[known]
 
 
 def fresh_graph(spark: SparkSession, sf_dir: str) -> Graph:

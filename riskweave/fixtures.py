@@ -2,152 +2,131 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+_FEEDS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; the scan is planned once per application."""
+    known = (spark.sparkContext.applicationId, sf_dir, name)
+    if known not in _TABLES:
+        _TABLES[known] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[known]
 
 
-def _id(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
+def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dataset name -> raw feed."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _FEEDS:
+        _FEEDS[known] = _build(spark, sf_dir)
+    return dict(_FEEDS[known])
 
 
-def _ntz(c: str) -> Column:
-    return F.col(c).cast("timestamp_ntz")
+_OWN_PHONE = "concat('p', user_id % 97)"
+_OWN_IDENTITY = "concat('i', user_id)"
+_CASE = [
+    "event_id AS c_id",
+    "concat('p', k) AS c_contact_phone_no",
+    f"{_OWN_PHONE} AS c_register_phone_no",
+    f"{_OWN_IDENTITY} AS c_identity_no",
+    "ts AS d_update",
+]
 
 
-def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+def _build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    events = table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        _ntz("ts").alias("ts"),
+        "CAST(ts AS TIMESTAMP_NTZ) AS ts",
         "user_id",
         "event_type",
-        "value",
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
-    )
-
-
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Dataset name -> raw feed."""
-    ev = _event_rows(spark, sf_dir)
-    k, uid, eid, kind = F.col("k"), F.col("user_id"), F.col("event_id"), F.col("event_type")
-    user = _id("U", uid)
-    seq = eid.alias("seq")
-    own_phone, own_identity = _id("p", uid % 97), _id("i", uid)
-
-    login = ev.filter(kind.isin("click", "view")).select(
-        own_phone.alias("phone_num"),
-        user.alias("cif_user_id"),
-        F.col("ts").alias("login_time"),
-        F.when(k == 0, "unknown").when(k == 1, " D1 ").when(k == 2, "NaN").otherwise(_id("d", k)).alias("device_no"),
-        _id("ip", eid % 211).alias("remote_ip"),
-        F.when(kind == "click", "APP").otherwise("WEB").alias("app_channel"),
-        F.when(k % 10 != 0, _id("t", k % 25)).alias("td_device_id"),
-        seq,
-    )
-    gps = ev.filter(kind == "signup").select(
-        user.alias("cid"), _id("g", k % 40).alias("geo_code"), F.col("ts").alias("create_date"), seq
-    )
-    bought = ev.filter(kind == "purchase")
-    linkman = bought.filter(eid % 2 == 0).select(
-        user.alias("cid"), _id("p", k).alias("mobile_phone"), F.col("ts").alias("create_date"), seq
-    )
-    second = bought.filter(eid % 2 == 1).select(
-        user.alias("cid"), _id("p", k + 50).alias("second_mobile_phone"), F.col("ts").alias("create_date"), seq
-    )
-    errors = ev.filter(kind == "error")
-    customer = errors.filter(k >= 5).select(
-        user.alias("baseid"),
-        F.when(k % 11 != 0, own_identity).alias("identity_no"),
-        _id("p", (uid + k % 3) % 97).alias("mobile_phone"),
-        F.col("ts").alias("log_create_date"),
-        seq,
-    )
-    logout = errors.filter(k < 5).select(
-        user.alias("cid"),
-        own_identity.alias("identity_no"),
-        own_phone.alias("mobile_phone"),
-        F.col("ts").alias("create_date"),
-        seq,
-    )
-    cases = errors.select(
-        eid.alias("c_id"),
-        _id("p", k).alias("c_contact_phone_no"),
-        own_phone.alias("c_register_phone_no"),
-        own_identity.alias("c_identity_no"),
-        F.col("ts").alias("d_update"),
-        "k",
-    )
-
-    cust = F.col("o_custkey")
-    order = table(spark, sf_dir, "orders").select(
-        _id("O", F.col("o_orderkey")).alias("id"),
-        _id("U", cust).alias("user_id"),
-        _id("p", cust % 97).alias("apply_loan_tel"),
-        _id("i", cust).alias("apply_ident_no"),
-        _id("c", cust % 1201).alias("apply_card_no"),
-        _id("p", cust % 89).alias("apply_bank_mobile"),
-        F.when(F.col("o_orderkey") % 10 != 0, _id("c", F.col("o_orderkey") % 997)).alias("repay_card_no"),
-        _id("p", cust % 83).alias("repay_bank_mobile"),
-        F.when(F.col("o_orderstatus") == "P", "OVERDUE")
-        .when(F.col("o_orderstatus") == "F", "REPAYED")
-        .otherwise("REPAYING")
-        .alias("order_status"),
-        _ntz("o_orderdate").alias("create_date"),
-        F.col("o_orderkey").alias("seq"),
-    )
-    ship = _ntz("l_shipdate")
-    repay_plan = table(spark, sf_dir, "lineitem").select(
-        F.concat(_id("R", F.col("l_orderkey")), F.lit("-"), F.col("l_linenumber").cast("string")).alias("id"),
-        _id("O", F.col("l_orderkey")).alias("order_id"),
-        ship.alias("current_repay_date"),
-        F.when(F.col("l_returnflag") != "N", ship).alias("repayed_date"),
-        F.col("l_returnflag").alias("overdue_mark"),
-        F.col("l_linestatus").alias("current_repay_status"),
-        ship.alias("modify_date"),
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    company = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        _id("U", F.col("c_custkey")).alias("cid"),
-        F.col("n_name").alias("company_name"),
-        F.lit("2023-12-01 00:00:00").cast("timestamp_ntz").alias("modify_date"),
-        F.col("c_custkey").alias("seq"),
-    )
-    ckey = F.col("c_custkey")
-    begin = F.when(ckey % 5 == 0, "2025-12-01 00:00:00").otherwise("2023-11-20 00:00:00")
-    blacklist = customers.filter(F.col("c_acctbal") < 0).select(
-        _id("U", ckey).alias("c_customer_no"),
-        F.when(ckey % 4 != 0, F.col("c_mktsegment")).alias("c_reason_list"),
-        _id("p", ckey % 97).alias("c_mobile_phone"),
-        _id("i", ckey).alias("c_identity_no"),
-        begin.cast("timestamp_ntz").alias("d_begin_date"),
-        ckey.alias("seq"),
-    )
     return {
-        "customer_log": customer,
-        "login": login,
-        "lbs_gps": gps,
-        "first_linkman": linkman,
-        "second_linkman": second,
-        "logout": logout,
-        "order": order,
-        "repay_plan": repay_plan,
-        "company_log": company,
-        "complaint": cases.filter(k >= 90).drop("k"),
-        "consumer_protection_case": cases.filter(k.between(80, 89)).drop("k"),
-        "blacklist_log": blacklist,
+        "customer_log": events.filter("event_type = 'error' AND k >= 5").selectExpr(
+            "concat('U', user_id) AS baseid",
+            f"CASE WHEN k % 11 <> 0 THEN {_OWN_IDENTITY} END AS identity_no",
+            "concat('p', (user_id + k % 3) % 97) AS mobile_phone",
+            "ts AS log_create_date",
+            "event_id AS seq",
+        ),
+        "login": events.filter("event_type IN ('click', 'view')").selectExpr(
+            f"{_OWN_PHONE} AS phone_num",
+            "concat('U', user_id) AS cif_user_id",
+            "ts AS login_time",
+            "CASE k WHEN 0 THEN 'unknown' WHEN 1 THEN ' D1 ' WHEN 2 THEN 'NaN' ELSE concat('d', k) END AS device_no",
+            "concat('ip', event_id % 211) AS remote_ip",
+            "CASE WHEN event_type = 'click' THEN 'APP' ELSE 'WEB' END AS app_channel",
+            "CASE WHEN k % 10 <> 0 THEN concat('t', k % 25) END AS td_device_id",
+            "event_id AS seq",
+        ),
+        "lbs_gps": events.filter("event_type = 'signup'").selectExpr(
+            "concat('U', user_id) AS cid", "concat('g', k % 40) AS geo_code", "ts AS create_date", "event_id AS seq"
+        ),
+        "first_linkman": events.filter("event_type = 'purchase' AND event_id % 2 = 0").selectExpr(
+            "concat('U', user_id) AS cid", "concat('p', k) AS mobile_phone", "ts AS create_date", "event_id AS seq"
+        ),
+        "second_linkman": events.filter("event_type = 'purchase' AND event_id % 2 = 1").selectExpr(
+            "concat('U', user_id) AS cid", "concat('p', k + 50) AS second_mobile_phone", "ts AS create_date", "event_id AS seq"
+        ),
+        "logout": events.filter("event_type = 'error' AND k < 5").selectExpr(
+            "concat('U', user_id) AS cid",
+            f"{_OWN_IDENTITY} AS identity_no",
+            f"{_OWN_PHONE} AS mobile_phone",
+            "ts AS create_date",
+            "event_id AS seq",
+        ),
+        "order": table(spark, sf_dir, "orders").selectExpr(
+            "concat('O', o_orderkey) AS id",
+            "concat('U', o_custkey) AS user_id",
+            "concat('p', o_custkey % 97) AS apply_loan_tel",
+            "concat('i', o_custkey) AS apply_ident_no",
+            "concat('c', o_custkey % 1201) AS apply_card_no",
+            "concat('p', o_custkey % 89) AS apply_bank_mobile",
+            "CASE WHEN o_orderkey % 10 <> 0 THEN concat('c', o_orderkey % 997) END AS repay_card_no",
+            "concat('p', o_custkey % 83) AS repay_bank_mobile",
+            "CASE o_orderstatus WHEN 'P' THEN 'OVERDUE' WHEN 'F' THEN 'REPAYED' ELSE 'REPAYING' END AS order_status",
+            "CAST(o_orderdate AS TIMESTAMP_NTZ) AS create_date",
+            "o_orderkey AS seq",
+        ),
+        "repay_plan": table(spark, sf_dir, "lineitem").selectExpr(
+            "concat('R', l_orderkey, '-', l_linenumber) AS id",
+            "concat('O', l_orderkey) AS order_id",
+            "CAST(l_shipdate AS TIMESTAMP_NTZ) AS current_repay_date",
+            "CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS TIMESTAMP_NTZ) END AS repayed_date",
+            "l_returnflag AS overdue_mark",
+            "l_linestatus AS current_repay_status",
+            "CAST(l_shipdate AS TIMESTAMP_NTZ) AS modify_date",
+        ),
+        "company_log": customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+            "concat('U', c_custkey) AS cid",
+            "n_name AS company_name",
+            "TIMESTAMP_NTZ '2023-12-01 00:00:00' AS modify_date",
+            "c_custkey AS seq",
+        ),
+        "complaint": events.filter("event_type = 'error' AND k >= 90").selectExpr(*_CASE),
+        "consumer_protection_case": events.filter("event_type = 'error' AND k BETWEEN 80 AND 89").selectExpr(*_CASE),
+        "blacklist_log": customers.filter("c_acctbal < 0").selectExpr(
+            "concat('U', c_custkey) AS c_customer_no",
+            "CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_reason_list",
+            "concat('p', c_custkey % 97) AS c_mobile_phone",
+            "concat('i', c_custkey) AS c_identity_no",
+            "CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP_NTZ '2025-12-01 00:00:00' "
+            "ELSE TIMESTAMP_NTZ '2023-11-20 00:00:00' END AS d_begin_date",
+            "c_custkey AS seq",
+        ),
     }
 
 
 def derived_linkman(feeds: dict[str, DataFrame]) -> DataFrame:
     """A derived contact feed: some rows are in the base feed, the others are not."""
-    phone = F.col("mobile_phone")
-    return feeds["first_linkman"].select(
+    return feeds["first_linkman"].selectExpr(
         "cid",
-        F.when(F.col("seq") % 4 == 0, phone).otherwise(F.concat(phone, F.lit("x"))).alias("mobile_phone"),
+        "CASE WHEN seq % 4 = 0 THEN mobile_phone ELSE concat(mobile_phone, 'x') END AS mobile_phone",
         "create_date",
         "seq",
     )

@@ -291,14 +291,14 @@ REQUIRED_FIELDS = {
 
 def event_error(ts: Column, data: Column, kind: Column) -> Column:
     """Why a cleaned event is rejected, or NULL."""
-
-    def value(field: str) -> Column:
-        return ts.cast("string") if field == "ts" else F.try_element_at(data, F.lit(field.removeprefix("data.")))
-
-    error = F.when(kind.isNull(), F.lit("Missing required field: type"))
-    for event_type, fields in REQUIRED_FIELDS.items():
-        for field in fields:
-            error = error.when(
-                (kind == event_type) & value(field).isNull(), F.lit(f"Missing required field: {field}")
-            )
-    return error.when(~kind.isin(*REQUIRED_FIELDS), F.concat(F.lit("Unsupported event type: "), kind))
+    known = F.create_map(
+        *[x for t, names in REQUIRED_FIELDS.items() for x in (F.lit(t), F.array(*[F.lit(n) for n in names]))]
+    )
+    given = F.transform(F.map_keys(F.map_filter(data, lambda _, v: v.isNotNull())), lambda k: F.concat(F.lit("data."), k))
+    given = F.concat(given, F.when(ts.isNotNull(), F.array(F.lit("ts"))).otherwise(F.array().cast("array<string>")))
+    first_missing = F.try_element_at(F.array_except(F.try_element_at(known, kind), given), F.lit(1))
+    return (
+        F.when(kind.isNull(), F.lit("Missing required field: type"))
+        .when(~kind.isin(*REQUIRED_FIELDS), F.concat(F.lit("Unsupported event type: "), kind))
+        .otherwise(F.concat(F.lit("Missing required field: "), first_missing))
+    )

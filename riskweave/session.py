@@ -19,6 +19,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "riskweave")
         .config("spark.sql.timestampType", "TIMESTAMP_NTZ")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
