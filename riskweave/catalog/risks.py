@@ -164,9 +164,10 @@ def counts(spark, sf) -> DataFrame:
     known = (spark.sparkContext.applicationId, sf)
     if known not in _COUNTS:
         g = graph(spark, sf)
-        found = nb.reach(g, members(spark, sf), 3, HUB_DEGREE)
+        anomalies = cut_lineage(nb.classify(g))
+        found = nb.reach(g, members(spark, sf), anomalies, 3, HUB_DEGREE)
         path = scratch_path(spark, "anomaly-counts")
-        nb.anomaly_counts(found, cut_lineage(nb.classify(g))).write.parquet(path)
+        nb.anomaly_counts(found, anomalies).write.parquet(path)
         _COUNTS[known] = path
     return spark.read.parquet(_COUNTS[known])
 
@@ -178,13 +179,13 @@ def counts(spark, sf) -> DataFrame:
 )
 def j12(spark, sf):
     g = graph(spark, sf)
-    found = nb.reach(g, members(spark, sf), 3, HUB_DEGREE)
     ends = g.nodes.filter(F.col("node_type").isin(*rules.ANOMALY_NODE_TYPES)).select(
         nb.node_id("node_type", "key").alias("node"),
         F.lit("any").alias("kind"),
         F.col("node_type").alias("label"),
         F.lit(0).cast("long").alias("assoc"),
     )
+    found = nb.reach(g, members(spark, sf), ends, 3, HUB_DEGREE)
     return nb.anomaly_counts(found, ends).groupBy("uid", "hop").agg(F.sum("n").alias("nodes"))
 
 
@@ -193,7 +194,8 @@ def j12(spark, sf):
 def r09(spark, sf):
     g = graph(spark, sf)
     listed = rel.distinct_key(feed(spark, sf, "blacklist_log"), "c_customer_no").select(F.lower("uid").alias("uid"))
-    return nb.anomaly_nodes(nb.reach(g, listed, 3, HUB_DEGREE), nb.classify(g))
+    anomalies = cut_lineage(nb.classify(g))
+    return nb.anomaly_nodes(nb.reach(g, listed, anomalies, 3, HUB_DEGREE), anomalies)
 
 
 @register(

@@ -204,7 +204,15 @@ def label_summary(labels: Mapping[str, DataFrame], inline: int = INLINE_LABELS)
     """
     long = label_records(labels).withColumn("_e", F.struct("source", "record"))
     counters = [F.count_if(F.col("source") == s).alias(f"n_{s}") for s in _LABEL_FIELDS]
-    return bounded_lists(long, _ID, "_e", "_hits", inline, *counters).drop("n")
+    lists = bounded_lists(long, _ID, "_e", "_hits", inline, *counters)
+    # Split by source here, once per identifier, not once per order row.
+    split = [_hits_of(source, fields).alias(source) for source, fields in _LABEL_FIELDS.items()]
+    return lists.select(*_ID, *[f"n_{s}" for s in _LABEL_FIELDS], *split)
+
+
+def _hits_of(source: str, fields: tuple[str, ...]) -> Column:
+    mine = F.filter("_hits", lambda e: e["source"] == source)
+    return F.transform(mine, lambda e: F.struct(*[e["record"][f].alias(f) for f in fields]))
 
 
 def risk_rows(orders: DataFrame, labels: Mapping[str, DataFrame], inline: int = INLINE_LABELS) -> DataFrame:
@@ -217,17 +225,11 @@ def risk_rows(orders: DataFrame, labels: Mapping[str, DataFrame], inline: int =
         order_identifiers(orders), label_summary(labels, inline), _ID, ["order_id", "sub_seq"]
     )
     out = []
-    for source, fields in _LABEL_FIELDS.items():
-        n, hits = F.col(f"n_{source}"), _hits_of(source, fields)
-        out += [F.coalesce(n, F.lit(0)).alias(f"n_{source}"), hits.alias(source)]
-    kept = ["order_id", "ts", "seq", "sub_seq", "order_status", *_ID]
-    no_hits = F.when(F.col("n_blacklist").isNull(), F.array().cast(rows.schema["_hits"].dataType))
-    return rows.withColumn("_hits", F.coalesce("_hits", no_hits)).select(*kept, *out)
-
-
-def _hits_of(source: str, fields: tuple[str, ...]) -> Column:
-    mine = F.filter("_hits", lambda e: e["source"] == source)
-    return F.transform(mine, lambda e: F.struct(*[e["record"][f].alias(f) for f in fields]))
+    for source in _LABEL_FIELDS:
+        n = F.col(f"n_{source}")
+        empty = F.when(n.isNull(), F.array().cast(rows.schema[source].dataType))
+        out += [F.coalesce(n, F.lit(0)).alias(f"n_{source}"), F.coalesce(F.col(source), empty).alias(source)]
+    return rows.select("order_id", "ts", "seq", "sub_seq", "order_status", *_ID, *out)
 
 
 def risk_events(risk: DataFrame) -> DataFrame:

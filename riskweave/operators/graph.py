@@ -271,17 +271,32 @@ ATTRIBUTES = {
 }
 
 
+# Feeds whose nodes no other feed gives attributes to.
+_OWN_NODES = ("order", "repay_plan", "complaint", "consumer_protection_case")
+
+
 def stamped_attributes(rows: Mapping[str, DataFrame]) -> DataFrame | None:
-    """All feeds' attributes, one row per node."""
-    parts = [ATTRIBUTES[d](rows[d]) for d in rows if d in ATTRIBUTES]
-    return merge_attributes(*parts) if parts else None
+    """All feeds' attributes, one row per node.
+
+    Only uid, phone and identity nodes get attributes from several feeds; the
+    others, orders and repayment plans above all, are not aggregated again.
+    """
+    shared = [ATTRIBUTES[d](rows[d]) for d in rows if d in ATTRIBUTES and d not in _OWN_NODES]
+    own = [ATTRIBUTES[d](rows[d]) for d in rows if d in _OWN_NODES]
+    if not shared and not own:
+        return None
+    merged = shared if len(shared) < 2 else [merge_attributes(*shared)]
+    return _all_stamped(union_all(merged + own))
+
+
+def _all_stamped(attributes: DataFrame) -> DataFrame:
+    have = attributes.columns
+    lacking = [F.lit(None).cast(t).alias(c) for c, t in STAMPED.items() if c not in have]
+    return attributes.select("*", *lacking).select(*NODE_KEY, *STAMPED)
 
 
 def merge_attributes(*parts: DataFrame) -> DataFrame:
-    wide = union_all(list(parts))
-    for name, dtype in STAMPED.items():
-        if name not in wide.columns:
-            wide = wide.withColumn(name, F.lit(None).cast(dtype))
+    wide = _all_stamped(union_all(list(parts)))
     return wide.groupBy(*NODE_KEY).agg(*[F.max(c).alias(c) for c in STAMPED])
 
 

@@ -24,7 +24,7 @@ from riskweave.operators.skew import salted_lookup
 from riskweave.session import cut_lineage
 
 MIN_HUB_DEGREE = 1000
-MAX_HUBS = 2048
+MAX_HUBS = 8192
 
 
 def node_id(node_type: Column | str, key: Column | str) -> Column:
@@ -67,10 +67,15 @@ class Reach:
     k: int
 
 
-def _adjacency(edges: DataFrame) -> DataFrame:
-    return neighbour_edges(edges).select(
+def _adjacency(edges: DataFrame, ends: DataFrame) -> DataFrame:
+    """Distinct (node, next), with whether ``next`` is one of ``ends``."""
+    pairs = neighbour_edges(edges).select(
         node_id("node_type", "key").alias("node"), node_id("n_type", "n_key").alias("next")
     ).distinct()
+    flags = ends.select(F.col("node").alias("next"), F.lit(True).alias("is_end"))
+    return salted_lookup(pairs, flags, ["next"], ["node"]).select(
+        "node", "next", F.coalesce("is_end", F.lit(False)).alias("is_end")
+    )
 
 
 def hubs_of(adjacency: DataFrame, min_degree: int = MIN_HUB_DEGREE) -> DataFrame:
@@ -81,9 +86,15 @@ def hubs_of(adjacency: DataFrame, min_degree: int = MIN_HUB_DEGREE) -> DataFrame
     return degrees.filter(large).select("node")
 
 
-def reach(graph: Graph, starts: DataFrame, k: int = 3, min_hub_degree: int = MIN_HUB_DEGREE) -> Reach:
-    """Walk ``k`` hops from every uid in ``starts`` (column ``uid``) and from every hub."""
-    adjacency = cut_lineage(_adjacency(graph.edges))
+def reach(
+    graph: Graph, starts: DataFrame, ends: DataFrame, k: int = 3, min_hub_degree: int = MIN_HUB_DEGREE
+) -> Reach:
+    """Walk ``k`` hops from every uid in ``starts`` (column ``uid``) and from every hub.
+
+    Nodes on the way are all kept; nodes of the last hop only when they are among
+    ``ends`` (column ``node``, distinct).
+    """
+    adjacency = cut_lineage(_adjacency(graph.edges, ends))
     hubs = cut_lineage(hubs_of(adjacency, min_hub_degree))
     uids = graph.nodes.filter(F.col("node_type") == "uid").select(node_id("node_type", "key").alias("start"))
     asked = starts.select(node_id(F.lit("uid"), "uid").alias("start")).distinct()
@@ -97,10 +108,12 @@ def reach(graph: Graph, starts: DataFrame, k: int = 3, min_hub_degree: int = MIN
         open_ends = frontier if hop < k else frontier.filter(~F.col("is_hub"))
         if hop > 1:
             open_ends = open_ends.join(small_hubs, "node", "left_anti")
+        steps = adjacency.filter("is_end") if hop == k else adjacency
+        met = open_ends.drop("d").join(steps, "node")
+        if hop == k - 1:
+            met = met.filter(~F.col("is_hub") | F.col("is_end"))
         found = (
-            open_ends.drop("d")
-            .join(adjacency, "node")
-            .select("start", "is_hub", F.col("next").alias("node"))
+            met.select("start", "is_hub", F.col("next").alias("node"))
             .distinct()
             .join(seen.select("start", "is_hub", "node"), ["start", "is_hub", "node"], "left_anti")
             .withColumn("d", F.lit(hop))
@@ -129,6 +142,13 @@ def reach(graph: Graph, starts: DataFrame, k: int = 3, min_hub_degree: int = MIN
     return Reach(own, cut_lineage(start_hubs), hub_walks, k)
 
 
+def _numbered(rows: DataFrame, vector: str, number: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors with a number, and the rows with that number instead."""
+    rows = cut_lineage(rows)
+    distinct = cut_lineage(rows.select(vector).distinct().withColumn(number, F.monotonically_increasing_id()))
+    return distinct, cut_lineage(rows.join(distinct, vector).drop(vector))
+
+
 def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
     """Per start: ``hop, kind, label, assoc, n`` over its anomalous nodes, exact.
 
@@ -136,38 +156,34 @@ def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
     """
     k = found.k
     facts = ["kind", "label", "assoc"]
-    # Nodes that hubs reach, with all their hub distances (at most one entry per hub).
+    # Nodes that hubs reach, classed by their hub distances (at most one entry per hub).
     reached = found.hub_walks.join(anomalies, "node", "left_semi")
     vectors = reached.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("hub", "b"))).alias("near"))
-    classes = vectors.join(anomalies, "node").groupBy("near", *facts).agg(F.count(F.lit(1)).alias("n"))
-    # Starts with the same hub distances.
+    nears, node_near = _numbered(vectors, "near", "near_id")
+    classes = node_near.join(anomalies, "node").groupBy("near_id", *facts).agg(F.count(F.lit(1)).alias("n"))
+    # Starts, classed the same way.
     profiles = found.start_hubs.groupBy("start").agg(
         F.sort_array(F.collect_list(F.struct("hub", "a"))).alias("far")
     )
-    shapes, nears = profiles.select("far").distinct(), classes.select("near").distinct()
+    shapes, start_far = _numbered(profiles, "far", "far_id")
     met = (
-        shapes.select("far", F.inline("far"))
-        .join(nears.select("near", F.inline("near")), "hub")
-        .groupBy("far", "near")
-        .agg(F.min(F.col("a") + F.col("b")).alias("hop"))
-        .filter(F.col("hop") <= k)
+        shapes.select("far_id", F.inline("far"))
+        .join(nears.select("near_id", F.inline("near")), "hub")
+        .groupBy("far_id", "near_id")
+        .agg(F.min(F.col("a") + F.col("b")).alias("via"))
+        .filter(F.col("via") <= k)
     )
-    per_shape = met.join(classes, "near").groupBy("far", "hop", *facts).agg(F.sum("n").alias("n"))
-    through_hubs = profiles.join(per_shape, "far").select("start", "hop", *facts, "n")
+    met = cut_lineage(met)
+    per_shape = met.join(classes, "near_id").groupBy("far_id", F.col("via").alias("hop"), *facts).agg(F.sum("n").alias("n"))
+    through_hubs = start_far.join(per_shape, "far_id").select("start", "hop", *facts, "n")
 
     # Nodes a start also walks to directly: move them to the shorter distance.
-    walked = found.walks.join(anomalies, "node").join(profiles, "start", "left").join(vectors, "node", "left")
-    via = F.array_min(
-        F.flatten(
-            F.transform(
-                "far",
-                lambda f: F.transform(
-                    F.filter("near", lambda m: m["hub"] == f["hub"]), lambda m: f["a"] + m["b"]
-                ),
-            )
-        )
+    walked = (
+        found.walks.join(anomalies, "node")
+        .join(start_far, "start", "left")
+        .join(node_near, "node", "left")
+        .join(met, ["far_id", "near_id"], "left")
     )
-    via = F.when(via <= k, via)
     d = F.col("d")
     shorter = F.col("via").isNull() | (d < F.col("via"))
     moves = F.array(
@@ -175,8 +191,7 @@ def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
         F.when(shorter, F.struct(F.col("via").alias("hop"), F.lit(-1).cast("long").alias("n"))),
     )
     moved = (
-        walked.withColumn("via", via)
-        .select("start", *facts, F.inline(F.array_compact(moves)))
+        walked.select("start", *facts, F.inline(F.array_compact(moves)))
         .filter(F.col("hop").isNotNull())
         .select("start", "hop", *facts, "n")
     )
