@@ -19,7 +19,7 @@ from riskweave.plans import jobs
 from riskweave.session import cut_lineage, scratch_path
 
 # A hub size that small inputs reach too.
-HUB_DEGREE = 100
+HUB_DEGREE = 300
 
 
 @register(
