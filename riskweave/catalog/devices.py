@@ -71,14 +71,8 @@ def a18(spark, sf):
     return rel.completeness(base, rel.distinct_key(feed(spark, sf, "customer_log"), "baseid"))
 
 
-_RISKS = (
-    "SELECT 'U' || CAST(c_custkey AS VARCHAR) AS uid, floor(c_acctbal * 100) AS risk, c_custkey FROM customer "
-    "WHERE c_custkey % 13 <> 0"
-)
-
-
 def _uid_risks(spark, sf):
-    """uid and risk text, one line per customer and one more per nation member."""
+    """uid and risk text, one line per customer."""
     return rel.parse_risk_lines(_risk_lines(spark, sf), ["device_no", "uid", "risk"])
 
 
@@ -333,7 +327,7 @@ def u03(spark, sf):
         "count(DISTINCT b.uid) AS overlap_ids, round(count(DISTINCT b.uid) * 1.0 / count(DISTINCT a.uid), 9) AS share_of_first, "
         f"round(count(DISTINCT b.uid) * 1.0 / (SELECT count(DISTINCT uid) FROM ({_LISTED})), 9) AS share_of_second "
         f"FROM ({_NORMAL}) a LEFT JOIN (SELECT DISTINCT uid FROM ({_LISTED})) b USING (uid)"
-    ).replace("count(DISTINCT a.uid)", "count(DISTINCT a.uid)"),
+    ),
 )
 def u03_ratios(spark, sf):
     out = rel.overlap(*_normal_and_listed(spark, sf))

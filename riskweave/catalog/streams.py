@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from riskweave.catalog import register
 from riskweave.catalog.cleaning import _TYPE_COUNTS
-from riskweave.catalog.context import feed
+from riskweave.catalog.context import feed, graph, rows
 from riskweave.catalog.sql import query
 from riskweave.fixtures import raw_feeds
 from riskweave.functions.timeparse import iso_text
 from riskweave.operators import events as E
+from riskweave.operators.association import windowed_links
 from riskweave.session import scratch_path
 from riskweave.sources.files import numbered_lines, parse_events
 from riskweave.sources.store import GraphStore
@@ -314,3 +315,44 @@ def st1(spark, sf):
     return edges.filter(F.col("rel").isin(*rels)).select(
         "rel", "src_key", "dst_key", "first_seen_ts", "last_seen_ts", "event_count"
     )
+
+
+def _late_and_repeated(spark, sf) -> DataFrame:
+    """Later rows first, then the earlier ones; every batch delivered twice."""
+    store = GraphStore(spark, scratch_path(spark, "late-store"))
+    for batch, late in enumerate((True, False)):
+        part = {d: rows(spark, sf, d).filter((F.col("seq") % 3 == 0) == late) for d in ("customer_log", "login")}
+        store.append(batch, part)
+        store.append(batch, part)
+    return store.read().edges
+
+
+_LOGIN_EDGES = (
+    "SELECT src_key, rel, dst_key, first_seen_ts, last_seen_ts, event_count FROM edges "
+    "WHERE rel LIKE 'LOGIN%' OR rel IN ('HAS_IDENTITY', 'HAS_PHONE')"
+)
+
+
+@register("ST6_repeated_batches", query(f"SELECT rel, count(*) AS edges, sum(event_count) AS events FROM ({_LOGIN_EDGES}) GROUP BY 1"))
+def st6(spark, sf):
+    return (
+        _late_and_repeated(spark, sf)
+        .groupBy("rel")
+        .agg(F.count(F.lit(1)).alias("edges"), F.sum("event_count").alias("events"))
+    )
+
+
+@register(
+    "ST7_update_window",
+    query("SELECT node_type, key, uid_count FROM bucket_counts WHERE bucket IN ('ip', 'geo')"),
+)
+def st7(spark, sf):
+    links = windowed_links(graph(spark, sf)).distinct()
+    return links.groupBy("node_type", "key").agg(F.count(F.lit(1)).alias("uid_count"))
+
+
+@register("ST8_late_data", query(_LOGIN_EDGES))
+def st8(spark, sf):
+    return _late_and_repeated(spark, sf).select(
+        "src_key", "rel", "dst_key", "first_seen_ts", "last_seen_ts", "event_count"
+    )

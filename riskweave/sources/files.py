@@ -195,7 +195,7 @@ def numbered_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     blocks = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    numbered = lines.join(F.broadcast(starts), ["path", "block"]).select(
+    numbered = lines.join(starts, ["path", "block"]).select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
         (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"),
         "value",
