@@ -63,7 +63,8 @@ def previous_value(
     the last row of the key's previous day, a table of one row per key and day.
     """
     rows = df.withColumn("_day", F.col(ts).cast("date"))
-    within = Window.partitionBy(key, "_day").orderBy(ts, *order)
+    # Values last, so that a recomputed task orders full ties the same way.
+    within = Window.partitionBy(key, "_day").orderBy(ts, *order, *values)
     packed = F.struct(*values)
     lagged = rows.withColumn("_prev", F.lag(packed).over(within)).withColumn(
         "_next", F.lead(F.lit(True)).over(within)
