@@ -14,8 +14,10 @@ from riskweave.llm.piece_codec import encoded
 from riskweave.llm.repetition import quality_rules
 from riskweave.llm.secret_spans import secret_spans
 from riskweave.llm.simhash_trie import near_duplicates
+from riskweave.llm.suffix_dedup import dedup_bytes
 from riskweave.llm.token_files import token_files
 from riskweave.llm.token_prefix import token_counts
+from riskweave.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,10 @@ def op2_token_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+def op3_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(documents(spark, sf_dir))
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -44,6 +50,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(documents(spark, sf_dir))
 
 
+def op8_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(documents(spark, sf_dir))
 
@@ -57,10 +67,12 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_simhash_trie,
         op2_token_prefix_counts,
+        op3_suffix_merge_dedup,
         op4_repetition_rules,
         op5_piece_codec,
         op6_fingerprint_tables,
         op7_source_mix,
+        op8_toxicity_network,
         op9_secret_spans,
         op10_token_files,
     )
