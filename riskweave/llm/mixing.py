@@ -179,3 +179,23 @@ def taken_words(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     n = F.coalesce(F.col("n"), F.lit(1))
     share = F.floor(F.col("taken") / n) + F.when(F.col("i") <= F.col("taken") % n, 1).otherwise(0)
     return out.select("s.doc_id", "s.size", "s.source_size", "s.target", share.cast("long").alias("taken"), "s.first_slot")
+
+
+def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, to the nearest whole copy; all columns as they are.
+
+    At the end of a source's line the mix takes part of a document: it counts as one
+    from half of it on. Documents without words go.
+    """
+    keys = ["doc_id", "source", "mark"]
+    rows = texts(docs, "source").select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("mark"))
+    alike = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).alias("a")
+    sums = mixture(docs, block).groupBy(*keys).agg(F.sum("words").alias("taken"), F.max("size").alias("size")).alias("s")
+    plan = sums.join(alike, [F.col(f"s.{c}").eqNullSafe(F.col(f"a.{c}")) for c in keys])
+    copies = F.round(F.col("taken") / (F.col("size") * F.col("n"))).cast("int")
+    plan = plan.filter("size > 0").select(*[F.col(f"s.{c}").alias(f"_{c}") for c in keys], copies.alias("_copies")).filter("_copies > 0")
+    own = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = own["doc_id"].cast("long").eqNullSafe(plan["_doc_id"]) & own["source"].cast("string").eqNullSafe(plan["_source"])
+    taken = own.join(plan, same & (own["_own"] == plan["_mark"]))
+    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return taken.select(*[own[c] for c in docs.columns])
