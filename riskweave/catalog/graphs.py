@@ -386,15 +386,12 @@ def a06(spark, sf):
 @register(
     "A06_association_maps",
     query(
-        "SELECT a.node_type, a.key, a.associated_uid_count, CASE WHEN a.associated_uid_count <= 50 THEN m.uids END AS uids "
-        "FROM assoc a JOIN (SELECT node_type, key, string_agg(uid, ',' ORDER BY uid) AS uids FROM links GROUP BY 1, 2) m "
-        "ON m.node_type = a.node_type AND m.key = a.key"
+        "SELECT l.node_type, l.key, l.uid, l.latest_ts, a.associated_uid_count FROM links l "
+        "JOIN assoc a ON a.node_type = l.node_type AND a.key = l.key"
     ),
 )
 def a06_maps(spark, sf):
-    maps = asc.association_maps(graph(spark, sf).edges, inline=50)
-    uids = F.array_join(F.array_sort(F.map_keys("uid_associations")), ",")
-    return maps.select("node_type", "key", "associated_uid_count", uids.alias("uids"))
+    return asc.association_entries(graph(spark, sf).edges)
 
 
 @register("A06_association_counts", query("SELECT node_type, key, associated_uid_count FROM assoc"))

@@ -87,33 +87,17 @@ def j01(spark, sf):
     query(
         "SELECT i.order_id, i.id_type, i.id_value, o.order_status, "
         "coalesce(h.n_blacklist, 0) AS n_blacklist, coalesce(h.n_complaint, 0) AS n_complaint, "
-        "coalesce(h.n_consumer_case, 0) AS n_consumer_case, coalesce(h.reasons, '') AS reasons, "
-        f"coalesce(h.contacts, '') AS contacts FROM ({_IDS}) i JOIN fx_order o ON o.id = i.order_id LEFT JOIN "
+        f"coalesce(h.n_consumer_case, 0) AS n_consumer_case FROM ({_IDS}) i JOIN fx_order o ON o.id = i.order_id LEFT JOIN "
         "(SELECT id_type, id_value, count(*) FILTER (WHERE source = 'blacklist') AS n_blacklist, "
-        "count(*) FILTER (WHERE source = 'complaint') AS n_complaint, count(*) FILTER (WHERE source = 'consumer') AS n_consumer_case, "
-        "string_agg(tag, ',' ORDER BY tag) FILTER (WHERE source = 'blacklist') AS reasons, "
-        f"string_agg(tag, ',' ORDER BY tag) FILTER (WHERE source = 'complaint') AS contacts FROM ({_HITS}) GROUP BY 1, 2) h "
+        "count(*) FILTER (WHERE source = 'complaint') AS n_complaint, "
+        f"count(*) FILTER (WHERE source = 'consumer') AS n_consumer_case FROM ({_HITS}) GROUP BY 1, 2) h "
         "ON h.id_type = i.id_type AND h.id_value = i.id_value"
     ),
 )
 def e05(spark, sf):
     feeds = raw_feeds(spark, sf)
     risk = E.risk_rows(feeds["order"], E.default_labels(feeds))
-
-    def joined(source: str, field: str):
-        return F.array_join(F.array_sort(F.transform(source, lambda r: r[field])), ",")
-
-    return risk.select(
-        "order_id",
-        "id_type",
-        "id_value",
-        "order_status",
-        "n_blacklist",
-        "n_complaint",
-        "n_consumer_case",
-        joined("blacklist", "c_reason_list").alias("reasons"),
-        joined("complaint", "c_contact_phone_no").alias("contacts"),
-    )
+    return risk.select("order_id", "id_type", "id_value", "order_status", "n_blacklist", "n_complaint", "n_consumer_case")
 
 
 def _stream(spark, sf) -> DataFrame:
@@ -151,7 +135,7 @@ def e06(spark, sf):
     query(f"SELECT strftime(ts, '%Y-%m') AS ym, count(*) AS events FROM ({_ALL_EVENTS}) GROUP BY 1"),
 )
 def e07(spark, sf):
-    return E.events_per_month(_stream(spark, sf))
+    return E.events_per_month(raw_feeds(spark, sf))
 
 
 # -- ingest -------------------------------------------------------------------

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from riskweave import rules
 from riskweave.functions.weights import beyond_first, lookup
 from riskweave.operators.graph import Graph, union_all
-from riskweave.operators.skew import bounded_lists, salted_lookup
-
-INLINE_UIDS = 1000
+from riskweave.operators.skew import salted_lookup
 
 
 def direct_links(edges: DataFrame) -> DataFrame:
@@ -26,19 +24,13 @@ def association_counts(edges: DataFrame) -> DataFrame:
     return direct_links(edges).groupBy("node_type", "key").agg(F.count(F.lit(1)).alias("associated_uid_count"))
 
 
-def association_maps(edges: DataFrame, inline: int = INLINE_UIDS) -> DataFrame:
-    """Count per node and a uid -> latest time map for nodes of at most ``inline`` uids.
+def association_entries(edges: DataFrame) -> DataFrame:
+    """One row per node and uid: latest time, and the node's count of uids.
 
-    Nodes beyond that have a null map; :func:`direct_links` holds their rows.
+    The complete uid -> latest time map of every node, however shared, as a long table.
     """
-    long = direct_links(edges).withColumn("_e", F.struct("uid", "latest_ts"))
-    lists = bounded_lists(long, ["node_type", "key"], "_e", "_entries", inline)
-    return lists.select(
-        "node_type",
-        "key",
-        F.col("n").alias("associated_uid_count"),
-        F.map_from_entries("_entries").alias("uid_associations"),
-    )
+    links = direct_links(edges)
+    return salted_lookup(links, association_counts(edges), ["node_type", "key"], ["uid"])
 
 
 def association_statistics(counts: DataFrame) -> DataFrame:

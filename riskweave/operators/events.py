@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from riskweave.functions.clean import clean_columns
 from riskweave.functions.timeparse import month_text, parse_time
 from riskweave.operators.graph import union_all
-from riskweave.operators.skew import bounded_lists, salted_lookup
 
 # Feeds in stream order with event type, time column and payload
 # (payload name -> feed column). The position is the tie-break rank.
@@ -83,7 +82,6 @@ SOURCES: list[tuple[str, str, str, dict[str, str]]] = [
 
 ORDER_RANK = len(SOURCES) - 1
 TOTAL_ORDER = ["ts", "source_rank", "seq", "sub_seq", "tie"]
-INLINE_LABELS = 1000
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -157,6 +155,7 @@ def order_identifiers(orders: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the label tables, and the columns that name an identifier.
 _LABEL_FIELDS = {
     "blacklist": ("c_customer_no", "c_reason_list", "c_mobile_phone", "c_identity_no"),
     "complaint": ("c_contact_phone_no", "c_register_phone_no", "c_identity_no"),
@@ -196,46 +195,27 @@ def label_records(labels: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(parts).filter(F.col("id_value") != "")
 
 
-def label_summary(labels: Mapping[str, DataFrame], inline: int = INLINE_LABELS) -> DataFrame:
-    """Per identifier: hits per source, and the records while there are at most ``inline``.
-
-    Identifiers beyond that keep their exact counts; their records stay complete in
-    :func:`label_records`, once per identifier and not once per order.
-    """
-    long = label_records(labels).withColumn("_e", F.struct("source", "record"))
+def label_counts(labels: Mapping[str, DataFrame]) -> DataFrame:
+    """Per identifier: hits per source. The records themselves stay in :func:`label_records`."""
     counters = [F.count_if(F.col("source") == s).alias(f"n_{s}") for s in _LABEL_FIELDS]
-    lists = bounded_lists(long, _ID, "_e", "_hits", inline, *counters)
-    # Split by source here, once per identifier, not once per order row.
-    split = [_hits_of(source, fields).alias(source) for source, fields in _LABEL_FIELDS.items()]
-    return lists.select(*_ID, *[f"n_{s}" for s in _LABEL_FIELDS], *split)
-
+    return label_records(labels).groupBy(*_ID).agg(*counters)
 
-def _hits_of(source: str, fields: tuple[str, ...]) -> Column:
-    mine = F.filter("_hits", lambda e: e["source"] == source)
-    return F.transform(mine, lambda e: F.struct(*[e["record"][f].alias(f) for f in fields]))
 
+def risk_rows(orders: DataFrame, labels: Mapping[str, DataFrame]) -> DataFrame:
+    """Every order identifier with its label counts and the order's status.
 
-def risk_rows(orders: DataFrame, labels: Mapping[str, DataFrame], inline: int = INLINE_LABELS) -> DataFrame:
-    """Every order identifier with its label hits and the order's status.
-
-    ``n_<source>`` is exact for every identifier; the arrays are null when the
-    identifier has more than ``inline`` records.
+    The identifier is the key of its records in :func:`label_records`, which hold them
+    once and not once per order. The counts are one row per identifier; a busy identifier's
+    orders are split by the adaptive skew join.
     """
-    rows = salted_lookup(
-        order_identifiers(orders), label_summary(labels, inline), _ID, ["order_id", "sub_seq"]
-    )
-    out = []
-    for source in _LABEL_FIELDS:
-        n = F.col(f"n_{source}")
-        empty = F.when(n.isNull(), F.array().cast(rows.schema[source].dataType))
-        out += [F.coalesce(n, F.lit(0)).alias(f"n_{source}"), F.coalesce(F.col(source), empty).alias(source)]
-    return rows.select("order_id", "ts", "seq", "sub_seq", "order_status", *_ID, *out)
+    rows = order_identifiers(orders).join(label_counts(labels), _ID, "left")
+    counts = [F.coalesce(f"n_{s}", F.lit(0)).alias(f"n_{s}") for s in _LABEL_FIELDS]
+    return rows.select("order_id", "ts", "seq", "sub_seq", "order_status", *_ID, *counts)
 
 
 def risk_events(risk: DataFrame) -> DataFrame:
     """Risk rows in the event layout."""
-    names = list(_LABEL_FIELDS)
-    labels = F.struct(*names, *[f"n_{s}" for s in names], "order_status")
+    labels = F.struct(*[f"n_{s}" for s in _LABEL_FIELDS], "order_status")
     return risk.select(
         F.lit("risk_assessment").alias("type"),
         "ts",
@@ -258,13 +238,11 @@ def default_labels(feeds: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def event_stream(
-    feeds: Mapping[str, DataFrame], labels: Mapping[str, DataFrame] | None = None, inline: int = INLINE_LABELS
-) -> DataFrame:
+def event_stream(feeds: Mapping[str, DataFrame], labels: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All events with risk rows, unsorted, with the tie-break columns."""
     events = source_events(feeds)
     if "order" in feeds and labels is not None:
-        events = union_all([events, risk_events(risk_rows(feeds["order"], labels, inline))])
+        events = union_all([events, risk_events(risk_rows(feeds["order"], labels))])
     return events.withColumn("ym", month_text("ts"))
 
 
@@ -273,8 +251,12 @@ def in_total_order(events: DataFrame) -> DataFrame:
     return events.orderBy(*TOTAL_ORDER)
 
 
-def events_per_month(events: DataFrame) -> DataFrame:
-    return events.groupBy("ym").agg(F.count(F.lit(1)).alias("events"))
+def events_per_month(feeds: Mapping[str, DataFrame]) -> DataFrame:
+    """Events per month, risk events included: one for each identifier of an order, labelled or not."""
+    parts = [source_events(feeds).select("ts")]
+    if "order" in feeds:
+        parts.append(order_identifiers(feeds["order"]).select("ts"))
+    return union_all(parts).groupBy(month_text("ts").alias("ym")).agg(F.count(F.lit(1)).alias("events"))
 
 
 # -- event validation ---------------------------------------------------------

@@ -186,14 +186,16 @@ def best_risk_per_uid(risks: DataFrame) -> DataFrame:
 def top_risks(
     lines: DataFrame,
     order: Sequence[str],
-    read: int = rules.RISK_LINES_READ,
+    read: int | None = None,
     n: int = rules.TOP_RISKS,
 ) -> DataFrame:
-    """Highest risk per uid over the first ``read`` non-blank lines, then the top ``n`` uids.
+    """Highest risk per uid over the non-blank lines, then the top ``n`` uids.
 
-    Both limits are the report's definition and bound what a single task holds.
+    All lines count unless the caller gives ``read``, the number of first lines in ``order``.
     """
-    head = lines.filter(trim_only("value").isNotNull()).orderBy(*order).limit(read)
+    head = lines.filter(trim_only("value").isNotNull())
+    if read is not None:
+        head = head.orderBy(*order).limit(read)
     risks = parse_risk_lines(head.select("value"), ["uid", "risk"])
     return best_risk_per_uid(risks).orderBy(F.desc("risk"), "uid").limit(n)
 

@@ -165,7 +165,6 @@ EXCLUDED_STATUSES = (
 
 TOP_DEVICES = 10_000
 TOP_RISKS = 3_000
-RISK_LINES_READ = 180_000
 ISOLATION_THRESHOLD = 2
 ISOLATION_RATE_ALERT = 0.3
 GROUP_RATIO_ALERT = 2.0

@@ -2,7 +2,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from riskweave.operators.skew import bounded_lists, hot_keys, previous_value, salted_lookup
+from riskweave.operators.association import association_entries
+from riskweave.operators.events import label_records, risk_rows
+from riskweave.operators.skew import hot_keys, previous_value, salted_lookup
 
 
 def hot_rows(n=3000):
@@ -40,9 +42,24 @@ def test_previous_value_crosses_days(spark):
     assert got == want
 
 
-def test_bounded_lists_keep_counts(spark):
-    df = spark.createDataFrame(hot_rows(), "k string, i int")
-    out = {r.k: r for r in bounded_lists(df, ["k"], "i", "items", 100).collect()}
-    assert out["hot"].n == 1000 and out["hot"]["items"] is None
-    assert sum(r.n for r in out.values()) == 3000
-    assert all(len(r["items"]) == r.n for k, r in out.items() if k != "hot")
+def test_busy_identifiers_keep_all_records(spark):
+    feeds = {"blacklist": [("U1", f"r{i}", "p1", "i1") for i in range(1500)], "complaint": [("p1", "p2", "i1")] * 1200}
+    labels = {
+        "blacklist": spark.createDataFrame(feeds["blacklist"], "c_customer_no string, c_reason_list string, c_mobile_phone string, c_identity_no string"),
+        "complaint": spark.createDataFrame(feeds["complaint"], "c_contact_phone_no string, c_register_phone_no string, c_identity_no string"),
+    }
+    orders = [(f"O{i}", "U1", "p1", "i1", "c", "p1", "p2", "2024-01-01", "X") for i in range(20)]
+    names = "id user_id apply_loan_tel apply_ident_no apply_card_no apply_bank_mobile repay_bank_mobile create_date order_status".split()
+    labels["consumer_case"] = labels["complaint"].limit(0)
+    rows = risk_rows(spark.createDataFrame(orders, names), labels).collect()
+    got = {(r.id_type, r.id_value): (r.n_blacklist, r.n_complaint, r.n_consumer_case) for r in rows}
+    assert len(rows) == 80
+    assert got == {("uid", "U1"): (1500, 0, 0), ("identity_no", "i1"): (1500, 1200, 0), ("phone_num", "p1"): (1500, 1200, 0), ("phone_num", "p2"): (0, 1200, 0)}
+    assert label_records(labels).count() == 3 * 1500 + 3 * 1200
+
+
+def test_shared_nodes_keep_all_uids(spark):
+    edges = [("uid", f"u{i}", "LOGIN_WITH_IP", "remote_ip", "ip", f"2024-01-01 00:{i % 60:02d}:00") for i in range(1200)]
+    df = spark.createDataFrame(edges, "src_type string, src_key string, rel string, dst_type string, dst_key string, t string")
+    out = association_entries(df.withColumn("last_seen_ts", F.col("t").cast("timestamp_ntz"))).collect()
+    assert len({r.uid for r in out}) == 1200 and {r.associated_uid_count for r in out} == {1200}
