@@ -246,9 +246,9 @@ def _stored(spark, sf, compact: bool):
         ("first_linkman", "second_linkman", "complaint", "consumer_protection_case", "blacklist_log"),
     )
     for batch, names in enumerate(groups):
-        store.append(batch, {d: rows(spark, sf, d) for d in names})
+        store.append("feeds", batch, {d: rows(spark, sf, d) for d in names})
         if batch == 0:
-            store.append(batch, {d: rows(spark, sf, d) for d in names})
+            store.append("feeds", batch, {d: rows(spark, sf, d) for d in names})
         if compact and batch == 1:
             store.compact()
     return store.read()

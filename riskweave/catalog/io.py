@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskweave import rules
 from riskweave.catalog import register
@@ -39,18 +41,30 @@ def s01(spark: SparkSession, sf: str) -> DataFrame:
     return valid_rows("login", files.read_feed(spark, path))
 
 
+def gbk_bytes(text: Column) -> Column:
+    """The GBK bytes of texts as Latin-1 characters, to write a file in GBK."""
+
+    @F.pandas_udf(StringType())
+    def encoded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t.encode("gbk").decode("latin-1"), na_action="ignore")
+
+    return encoded(text)
+
+
 @register(
     "S02_mixed_encodings",
-    "SELECT n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' é' ELSE ' 中' END AS name, n_nationkey AS id FROM nation",
+    "SELECT n_name || CASE n_nationkey % 3 WHEN 0 THEN ' é' WHEN 1 THEN ' 中' ELSE ' 渠道' END AS name, n_nationkey AS id FROM nation",
 )
 def s02(spark, sf):
     path = scratch_path(spark, "encodings")
     n = table(spark, sf, "nation")
     key = F.col("n_nationkey")
-    latin = n.filter(key % 2 == 0).select(key.alias("id"), F.concat("n_name", F.lit(" é")).alias("name"))
-    utf8 = n.filter(key % 2 == 1).select(F.concat("n_name", F.lit(" 中")).alias("name"), key.alias("id"))
+    latin = n.filter(key % 3 == 0).select(key.alias("id"), F.concat("n_name", F.lit(" é")).alias("name"))
+    gbk = n.filter(key % 3 == 2).select(key.alias("id"), gbk_bytes(F.concat("n_name", F.lit(" 渠道"))).alias("name"))
+    utf8 = n.filter(key % 3 == 1).select(F.concat("n_name", F.lit(" 中")).alias("name"), key.alias("id"))
     _write_csv(latin, f"{path}/a", "ISO-8859-1")
     _write_csv(utf8, f"{path}/b")
+    _write_csv(gbk, f"{path}/c", "ISO-8859-1")
     return files.read_mixed_feed(spark, path).select("name", F.col("id").cast("int").alias("id"))
 
 
@@ -200,32 +214,52 @@ def s14(spark, sf):
     return sinks.slice_events(events).select("type", "ts", "seq", "sub_seq")
 
 
-_DELIVERED = ("login", "order", "logout")
 
 
 def _delivered(spark, sf) -> str:
-    """Three feeds as CSV folders; the order files lack columns."""
+    """Every dataset as a CSV folder of nations: all columns, but for those that LACKING names."""
     path = scratch_path(spark, "delivered")
-    for d in _DELIVERED:
-        raw = feed(spark, sf, d).drop("seq")
-        if d != "order":
-            for name in rules.REQUIRED_COLUMNS[d]:
-                if name not in raw.columns:
-                    raw = raw.withColumn(name, F.lit("x"))
-        _write_csv(raw, f"{path}/{d}")
+    n = table(spark, sf, "nation")
+    for d, names in rules.REQUIRED_COLUMNS.items():
+        kept = [c for c in names if c not in LACKING.get(d, ())]
+        _write_csv(n.select(*[F.col("n_name").alias(c.upper() if i % 2 else f" {c}") for i, c in enumerate(kept)]), f"{path}/{d}")
     return path
 
 
-@register("S15_header_catalogue")
+#: Columns that the delivered files lack.
+LACKING = {"order": ("id", "order_status"), "login": ("device_no",), "second_linkman_derived": ("cid",)}
+
+
+def _values(rows: list[str], names: str) -> str:
+    return f"SELECT t.* FROM (VALUES {', '.join(rows)}) t({names}) WHERE (SELECT count(*) FROM nation) > 0"
+
+
+@register(
+    "S15_header_catalogue",
+    _values(
+        [
+            f"('{d}', {i}, '{c}')"
+            for d, names in rules.REQUIRED_COLUMNS.items()
+            for i, c in enumerate(c for c in names if c not in LACKING.get(d, ()))
+        ],
+        'dataset, pos, "column"',
+    ),
+)
 def s15(spark, sf):
-    headers = files.header_catalogue(spark, _delivered(spark, sf), _DELIVERED)
+    headers = files.header_catalogue(spark, _delivered(spark, sf), list(rules.REQUIRED_COLUMNS))
     return headers.select("dataset", F.posexplode("header").alias("pos", "column"))
 
 
-@register("P13_header_rules")
+@register(
+    "P13_header_rules",
+    _values(
+        [f"('{d}', {str(d not in LACKING).lower()}, '{','.join(LACKING.get(d, ()))}')" for d in rules.REQUIRED_COLUMNS],
+        "dataset, ok, missing",
+    ),
+)
 def p13(spark, sf):
     path = _delivered(spark, sf)
-    parts = [files.file_headers(spark, f"{path}/{d}").withColumn("dataset", F.lit(d)) for d in _DELIVERED]
+    parts = [files.file_headers(spark, f"{path}/{d}").withColumn("dataset", F.lit(d)) for d in rules.REQUIRED_COLUMNS]
     checked = files.validate_headers(reduce(DataFrame.unionByName, parts))
     return checked.groupBy("dataset", "ok").agg(F.max(F.array_join("missing", ",")).alias("missing"))
 

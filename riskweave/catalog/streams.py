@@ -306,8 +306,8 @@ def _late_and_repeated(spark, sf) -> DataFrame:
     store = GraphStore(spark, scratch_path(spark, "late-store"))
     for batch, late in enumerate((True, False)):
         part = {d: rows(spark, sf, d).filter((F.col("seq") % 3 == 0) == late) for d in ("customer_log", "login")}
-        store.append(batch, part)
-        store.append(batch, part)
+        store.append("parts", batch, part)
+        store.append("parts", batch, part)
     return store.read().edges
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskweave import rules
 from riskweave.functions.clean import clean_columns, clean_column_name
@@ -63,7 +65,23 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], encoding: str = "U
     read by position. See :func:`read_mixed_feed` for trees of several layouts.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return clean_columns(_reader(spark, encoding).csv(paths))
+    if encoding != "GBK":
+        return clean_columns(_reader(spark, encoding).csv(paths))
+    # Spark has no GBK reader. No byte of a GBK character is a comma, a quote or a line
+    # end, so rows are parsed byte by byte and the texts decoded after that.
+    raw = _reader(spark, "ISO-8859-1").csv(paths)
+    names = [c.encode("latin-1").decode("gbk") for c in raw.columns]
+    return clean_columns(raw.select(*[gbk_text(F.col(f"`{c}`")).alias(n) for c, n in zip(raw.columns, names)]))
+
+
+def gbk_text(text: Column) -> Column:
+    """GBK text from its bytes as Latin-1 characters."""
+
+    @F.pandas_udf(StringType())
+    def decoded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t.encode("latin-1").decode("gbk"), na_action="ignore")
+
+    return decoded(text)
 
 
 def read_mixed_feed(spark: SparkSession, path: str) -> DataFrame:

@@ -122,6 +122,48 @@ def test_stop_on_error(spark):
     assert spark.read.parquet(f"{store.path}/errors").count() == 1
 
 
+def test_stop_on_error_over_files(spark):
+    a = [ev("gps", i, cid=f"A{i}", geo_code="g") for i in range(10)]
+    b = [ev("nope", 1)] + [ev("gps", i, cid=f"B{i}", geo_code="g") for i in range(5)]
+    both = [("a", i, t) for i, t in enumerate(a, 1)] + [("b", i, t) for i, t in enumerate(b, 1)]
+    events = parse_events(spark.createDataFrame(both, "file string, line long, value string").repartition(4))
+    store = GraphStore(spark, scratch_path(spark, "stop-files"))
+    assert I.apply_batch(store, events, 0, stop_on_error=True)
+    uids = {r.src_key for r in store.read().edges.filter("rel = 'LOCATED_AT'").collect()}
+    assert uids == {f"a{i}" for i in range(10)}
+    with pytest.raises(ValueError):
+        I.apply_batch(store, events.drop("line"), 1, stop_on_error=True)
+
+
+def test_sources_do_not_meet(spark):
+    """Stream, delivery, stream; then a new checkpoint and a repeated delivery."""
+    store = GraphStore(spark, scratch_path(spark, "sources"))
+    path, rows = scratch_path(spark, "sources-in"), lambda i: lines(spark, [ev("gps", i, cid=f"U{i}", geo_code="g")])
+    checkpoint = scratch_path(spark, "sources-ck")
+
+    def stream(ck):
+        I.start_ingest(I.read_event_stream(spark, path), store, ck).awaitTermination()
+        return store.read().edges.count()
+
+    def deliver(name, uid):
+        good = I.feed_rows(I.accepted(I.checked_events(parse_events(lines(spark, [ev("gps", 9, cid=uid, geo_code="g")])))), F.lit(1))
+        return store.append(f"delivery/lbs_gps/{name}", 0, {"lbs_gps": good["lbs_gps"]})
+
+    rows(1).select("value").write.text(f"{path}/1")
+    assert stream(checkpoint) == 1
+    assert deliver("monday", "D1") and store.read().edges.count() == 2
+    rows(2).select("value").write.text(f"{path}/2")
+    assert stream(checkpoint) == 3
+    store.compact()
+    assert not deliver("monday", "D1") and deliver("tuesday", "D2")
+    assert store.read().edges.count() == 4
+    other = scratch_path(spark, "sources-ck")
+    before = {(r.src_key): r.event_count for r in store.read().edges.collect()}
+    assert stream(other) == 4  # a new checkpoint reads all files again and counts them again
+    after = {(r.src_key): r.event_count for r in store.read().edges.collect()}
+    assert after == {k: n + (k in ("u1", "u2")) for k, n in before.items()}
+
+
 def table(graph):
     return (sorted(map(str, graph.edges.collect())), sorted(map(str, graph.nodes.collect())))
 
@@ -153,7 +195,7 @@ def test_stream_equals_batch(spark):
     batch = GraphStore(spark, scratch_path(spark, "batch"))
     I.apply_batch(batch, parse_events(lines(spark, texts)), 0)
     assert table(store.read()) == table(batch.read())
-    assert store.last_batch() >= 2
+    assert store.last_batch(I.stream_source(spark, checkpoint)) >= 2
 
 
 def test_line_numbers_over_splits(spark):

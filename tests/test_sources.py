@@ -28,11 +28,7 @@ def test_encodings_and_header_orders(spark, folder):
     put(folder, "c/none.csv", "id,name\n3,café\n".encode("latin-1"))
     found = {os.path.basename(r.path): r.encoding for r in files.file_encodings(spark, folder).collect()}
     assert found == {"2024-01-01.csv": "UTF-8", "2024-01-02.csv": "GBK", "none.csv": "ISO-8859-1"}
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    try:
-        rows = files.read_mixed_feed(spark, folder).select("id", "name").collect()
-    finally:
-        spark.conf.unset("spark.sql.legacy.javaCharsets")
+    rows = files.read_mixed_feed(spark, folder).select("id", "name").collect()
     assert sorted(map(tuple, rows)) == [("1", "渠道"), ("2", "渠道"), ("3", "café")]
     ordered = files.list_csv_files(spark, folder).orderBy(*files.file_order(files.F.col("path")))
     assert [r.date_token for r in ordered.collect()] == ["20240101", "20240102", None]
@@ -60,9 +56,9 @@ def test_import_increment(spark, folder):
     put(folder, "ok/x.csv", f"{header}\n1,U1,I1,P1,2024-01-01,\n2,,I2,P2,2024-01-01,\n".encode())
     put(folder, "bad/x.csv", b"id,cid\n1,U1\n")
     store = GraphStore(spark, scratch_path(spark, "increment"))
-    refused = jobs.import_increment(spark, store, "logout", f"{folder}/bad")
-    assert set(refused) == {"headers"} and store.last_batch() == -1
-    done = jobs.import_increment(spark, store, "logout", f"{folder}/ok")
+    refused = jobs.import_increment(spark, store, "logout", f"{folder}/bad", "one")
+    assert set(refused) == {"headers"} and store.commits().isEmpty()
+    done = jobs.import_increment(spark, store, "logout", f"{folder}/ok", "one")
     row = done["accounting"].first()
     assert (row.total_rows, row.written_rows, row.skipped_missing_uid) == (2, 1, 1)
     assert done["summary"].first().node_count == 3
