@@ -75,21 +75,22 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def id_buckets(rows: DataFrame) -> Column:
-    """The bucket of a row in descending order of doc_id, null ids last.
+def with_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``bucket``, its place in descending order of doc_id, null ids last.
 
     The borders are quantiles, at most BUCKETS of them whatever the table, and a row
-    finds its own by halving.
+    finds its own by halving, one column for each step.
     """
     n = rows.count()
     steps = max(0, min(BUCKETS, n // BUCKET).bit_length())
     shares = [i / (1 << steps) for i in range(1, 1 << steps)]
     found = rows.agg(F.percentile_approx("doc_id", shares, 8 << steps).alias("q")).first()["q"] if shares else []
     borders = F.array(*[F.lit(int(q)).cast("long") for q in found or [0] * len(shares)])
-    below = F.lit(0)
+    out = rows.withColumn("bucket", F.lit(0))
     for k in range(steps - 1, -1, -1):
-        below = below + F.when(F.col("doc_id") > F.element_at(borders, below + (1 << k)), 1 << k).otherwise(0)
-    return F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(-below)
+        above = F.col("doc_id") > F.element_at(borders, F.col("bucket") + F.lit(1 << k))
+        out = out.withColumn("bucket", F.col("bucket") + F.when(above, F.lit(1 << k)).otherwise(F.lit(0)))
+    return out.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(-F.col("bucket")))
 
 
 def with_next(rows: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def with_next(rows: DataFrame) -> DataFrame:
     A window looks ahead inside each bucket of ids; the last row of a bucket gets the
     first of the next bucket that has rows.
     """
-    dealt = rows.withColumn("row", F.xxhash64("doc_id", "text")).withColumn("bucket", id_buckets(rows))
+    dealt = with_buckets(rows).withColumn("row", F.xxhash64("doc_id", "text"))
     inside = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text"))
     ahead = dealt.select(
         "*",
