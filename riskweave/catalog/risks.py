@@ -71,9 +71,22 @@ def r03(spark, sf):
     return out.select("node_type", "key", "n_type", "n_key", "rel", F.round("weight", 9).alias("weight"))
 
 
+_RISKS: dict[tuple[str, str], str] = {}
+
+
+def risks(spark, sf) -> DataFrame:
+    """Two-hop risk of every node, written once per application and input."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _RISKS:
+        path = scratch_path(spark, "risks")
+        R.k_hop_risk(graph(spark, sf), 2).write.parquet(path)
+        _RISKS[known] = path
+    return spark.read.parquet(_RISKS[known])
+
+
 @register("R04_k_hop_risk", query("SELECT node_type, key, round(risk, 4) AS risk FROM r2"))
 def r04(spark, sf):
-    return R.k_hop_risk(graph(spark, sf), 2).withColumn("risk", F.round("risk", 4))
+    return risks(spark, sf).withColumn("risk", F.round("risk", 4))
 
 
 @register("R04_one_hop_risk", query("SELECT node_type, key, round(risk, 4) AS risk FROM r1"))
@@ -110,7 +123,7 @@ _DEVICE_RISKS = (
 
 @register("R06_device_uid_risks", query(f"SELECT device_no, uid, round(risk, 4) AS risk FROM ({_DEVICE_RISKS})"))
 def r06(spark, sf):
-    return jobs.device_uid_risks(graph(spark, sf)).withColumn("risk", F.round("risk", 4))
+    return jobs.device_uid_risks(graph(spark, sf), risks=risks(spark, sf)).withColumn("risk", F.round("risk", 4))
 
 
 @register(
@@ -124,7 +137,7 @@ def r06(spark, sf):
 )
 def r07(spark, sf):
     channels = rel.device_channels(feed(spark, sf, "login"), "device_no", "app_channel")
-    out = jobs.device_report(jobs.device_uid_risks(graph(spark, sf)), channels)
+    out = jobs.device_report(jobs.device_uid_risks(graph(spark, sf), risks=risks(spark, sf)), channels)
     return out.withColumns({c: F.round(c, 4) for c in ("max_risk", "min_risk", "avg_risk")})
 
 
@@ -141,8 +154,8 @@ def r08(spark, sf):
     g = graph(spark, sf)
     listed = rel.distinct_key(feed(spark, sf, "blacklist_log"), "c_customer_no").select(F.lower("uid").alias("uid"))
     known = g.nodes.filter((F.col("node_type") == "uid") & F.col("is_blacklisted")).select(F.col("key").alias("uid"))
-    risks = R.k_hop_risk(g, 2).filter(F.col("node_type") == "uid").select(F.col("key").alias("uid"), "risk")
-    hits = jobs.forecast_hits(risks, jobs.newly_listed(listed, known), g.edges, "d1")
+    scored = risks(spark, sf).filter(F.col("node_type") == "uid").select(F.col("key").alias("uid"), "risk")
+    hits = jobs.forecast_hits(scored, jobs.newly_listed(listed, known), g.edges, "d1")
     return hits.withColumn("risk", F.round("risk", 4))
 
 
@@ -206,6 +219,26 @@ def r09_counts(spark, sf):
     return counts(spark, sf)
 
 
+@register(
+    "R09_anomaly_counts_many_hubs",
+    query("SELECT uid, hop, kind, label, assoc, count(*) AS n FROM found GROUP BY ALL"),
+)
+def r09_many_hubs(spark, sf):
+    """The same counts with a third of the hub degree: where hubs begin changes no row."""
+    g = graph(spark, sf)
+    anomalies = cut_lineage(nb.classify(g))
+    return nb.anomaly_counts(nb.reach(g, members(spark, sf), anomalies, 3, HUB_DEGREE // 3), anomalies)
+
+
+@register(
+    "R06_scored_for_devices",
+    query(f"SELECT device_no, uid, round(risk, 4) AS risk FROM ({_DEVICE_RISKS})"),
+)
+def r06_targets(spark, sf):
+    """R06 without a table of risks: only the uids of the devices are scored."""
+    return jobs.device_uid_risks(graph(spark, sf)).withColumn("risk", F.round("risk", 4))
+
+
 @register("R10_member_hop_totals", query("SELECT grp, uid, hop, n FROM hop_totals"))
 def r10(spark, sf):
     return nb.member_hop_totals(members(spark, sf), counts(spark, sf))

@@ -35,6 +35,7 @@ _CASE_EDGES = [
     ("complaint_case", "case_key", "C_REGISTER_PHONE", "phone_num", "register_phone"),
     ("complaint_case", "case_key", "C_CONTACT_PHONE", "phone_num", "contact_phone"),
 ]
+# Per feed the relations (source type, source column, relation, target type, target column).
 EDGES = {
     "login": [
         ("uid", "uid", "LOGIN_WITH_PHONE", "phone_num", "phone_num"),
@@ -63,7 +64,7 @@ EDGES = {
     ],
 }
 
-# dataset -> nodes a row touches even when it carries no edge
+# Dataset -> nodes a row touches even when it carries no edge
 OWNERS = {
     "customer_log": [("uid", "uid")],
     "login": [("uid", "uid")],

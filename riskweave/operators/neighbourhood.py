@@ -24,7 +24,6 @@ from riskweave.operators.skew import salted_lookup
 from riskweave.session import cut_lineage
 
 MIN_HUB_DEGREE = 1000
-MAX_HUBS = 8192
 
 
 def node_id(node_type: Column | str, key: Column | str) -> Column:
@@ -79,11 +78,9 @@ def _adjacency(edges: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def hubs_of(adjacency: DataFrame, min_degree: int = MIN_HUB_DEGREE) -> DataFrame:
-    """Nodes with at least ``min_degree`` neighbours and 1/MAX_HUBS of all: at most MAX_HUBS."""
+    """Nodes with at least ``min_degree`` neighbours, however large the graph is."""
     degrees = adjacency.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    total = degrees.agg(F.sum("degree").alias("t")).scalar()
-    large = F.col("degree") >= F.greatest(F.lit(min_degree), F.ceil(total / F.lit(MAX_HUBS)))
-    return degrees.filter(large).select("node")
+    return degrees.filter(F.col("degree") >= min_degree).select("node")
 
 
 def reach(
@@ -92,7 +89,9 @@ def reach(
     """Walk ``k`` hops from every uid in ``starts`` (column ``uid``) and from every hub.
 
     Nodes on the way are all kept; nodes of the last hop only when they are among
-    ``ends`` (column ``node``, distinct).
+    ``ends`` (column ``node``, distinct). A node of fewer than ``min_hub_degree``
+    neighbours is walked through, so a walk of ``k`` hops from one uid meets fewer than
+    ``min_hub_degree ** (k - 1)`` nodes before its last hop; each hub is walked from once.
     """
     adjacency = cut_lineage(_adjacency(graph.edges, ends))
     hubs = cut_lineage(hubs_of(adjacency, min_hub_degree))
@@ -102,12 +101,11 @@ def reach(
     from_hubs = hubs.select(F.col("node").alias("start"), F.lit(True).alias("is_hub"))
     seen = asked.unionByName(from_hubs).select("start", "is_hub", F.col("start").alias("node"), F.lit(0).alias("d"))
     frontier = seen
-    small_hubs = F.broadcast(hubs)
     for hop in range(1, k + 1):
         # From hubs k - 1 hops are enough: a hub lies at least one hop from a start.
         open_ends = frontier if hop < k else frontier.filter(~F.col("is_hub"))
         if hop > 1:
-            open_ends = open_ends.join(small_hubs, "node", "left_anti")
+            open_ends = open_ends.join(hubs, "node", "left_anti")
         steps = adjacency.filter("is_end") if hop == k else adjacency
         met = open_ends.drop("d").join(steps, "node")
         if hop == k - 1:
@@ -125,11 +123,11 @@ def reach(
     hub_walks = seen.filter(F.col("is_hub") & (F.col("d") > 0)).select(
         F.col("start").alias("hub"), "node", F.col("d").alias("b")
     )
-    start_hubs = own.filter(F.col("d").between(1, k - 1)).join(small_hubs, "node", "left_semi").select(
+    start_hubs = own.filter(F.col("d").between(1, k - 1)).join(hubs, "node", "left_semi").select(
         "start", F.col("node").alias("hub"), F.col("d").alias("a")
     )
     # A hub behind a hub: close the distances over the hub-to-hub table.
-    between = hub_walks.join(F.broadcast(hubs), "node", "left_semi").select(
+    between = hub_walks.join(hubs, "node", "left_semi").select(
         "hub", F.col("node").alias("other"), "b"
     )
     for _ in range(max(0, k - 2)):
@@ -142,11 +140,18 @@ def reach(
     return Reach(own, cut_lineage(start_hubs), hub_walks, k)
 
 
-def _numbered(rows: DataFrame, vector: str, number: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors with a number, and the rows with that number instead."""
-    rows = cut_lineage(rows)
-    distinct = cut_lineage(rows.select(vector).distinct().withColumn(number, F.monotonically_increasing_id()))
-    return distinct, cut_lineage(rows.join(distinct, vector).drop(vector))
+def _classes(rows: DataFrame, owner: str, distance: str) -> tuple[DataFrame, DataFrame]:
+    """Owners with the same (hub, distance) rows as one class, named by its smallest owner.
+
+    Returns the classes' rows (class, hub, distance) and (owner, class). Sets are
+    compared by two 64-bit hashes over their rows, which aggregate before the shuffle.
+    """
+    both = [F.bit_xor(F.xxhash64("hub", distance, F.lit(seed))).alias(f"_h{seed}") for seed in (1, 2)]
+    marks = cut_lineage(rows.groupBy(owner).agg(*both))
+    heads = cut_lineage(marks.groupBy("_h1", "_h2").agg(F.min(owner).alias("class")))
+    owners = cut_lineage(marks.join(heads, ["_h1", "_h2"]).select(owner, "class"))
+    entries = rows.join(heads.select(F.col("class").alias(owner)), owner).withColumnRenamed(owner, "class")
+    return entries.select("class", "hub", distance), owners
 
 
 def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
@@ -156,22 +161,19 @@ def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
     """
     k = found.k
     facts = ["kind", "label", "assoc"]
-    # Nodes that hubs reach, classed by their hub distances (at most one entry per hub).
+    # Nodes that hubs reach, classed by their hub distances.
     reached = found.hub_walks.join(anomalies, "node", "left_semi")
-    vectors = reached.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("hub", "b"))).alias("near"))
-    nears, node_near = _numbered(vectors, "near", "near_id")
+    nears, node_near = _classes(reached.select("node", "hub", "b"), "node", "b")
+    node_near = node_near.withColumnRenamed("class", "near_id")
     classes = node_near.join(anomalies, "node").groupBy("near_id", *facts).agg(F.count(F.lit(1)).alias("n"))
     # Starts, classed the same way.
-    profiles = found.start_hubs.groupBy("start").agg(
-        F.sort_array(F.collect_list(F.struct("hub", "a"))).alias("far")
-    )
-    shapes, start_far = _numbered(profiles, "far", "far_id")
+    shapes, start_far = _classes(found.start_hubs, "start", "a")
+    start_far = start_far.withColumnRenamed("class", "far_id")
+    far, near = shapes.withColumnRenamed("class", "far_id").alias("f"), nears.withColumnRenamed("class", "near_id").alias("n")
     met = (
-        shapes.select("far_id", F.inline("far"))
-        .join(nears.select("near_id", F.inline("near")), "hub")
+        far.join(near, (F.col("f.hub") == F.col("n.hub")) & (F.col("a") + F.col("b") <= k))
         .groupBy("far_id", "near_id")
         .agg(F.min(F.col("a") + F.col("b")).alias("via"))
-        .filter(F.col("via") <= k)
     )
     met = cut_lineage(met)
     per_shape = met.join(classes, "near_id").groupBy("far_id", F.col("via").alias("hop"), *facts).agg(F.sum("n").alias("n"))

@@ -123,7 +123,8 @@ def k_hop_risk(
             term = edge_weight(F.col("rel"), F.col("last_seen"), F.col("updated_at")) * F.col("risk")
             sums = met.groupBy(*NODE).agg(F.sum(term).alias("_sum"))
             risk = F.when(F.col("linked"), F.coalesce("_sum", F.lit(0.0))).otherwise(F.col("base_risk"))
-            current = base.join(sums, NODE, "left").select(*NODE, "updated_at", risk.alias("risk"))
+            asked = base if level is None else base.join(level, NODE, "left_semi")
+            current = asked.join(sums, NODE, "left").select(*NODE, "updated_at", risk.alias("risk"))
     scored = current.select(*NODE, "risk")
     if targets is None:
         return scored

@@ -118,13 +118,29 @@ DEFAULT_DECAY_DAYS = 730.0
 # Hop -> weight per anomaly kind and node type.
 HOP_WEIGHTS = {
     1: {
-        **{("blacklisted", t): 1.0 for t in ("phone_num", "identity_no")},
-        **{("shared", t): 1.0 for t in ASSOCIATED_TYPES},
+        ("blacklisted", "phone_num"): 1.0,
+        ("blacklisted", "identity_no"): 1.0,
+        ("shared", "phone_num"): 1.0,
+        ("shared", "identity_no"): 1.0,
+        ("shared", "card_no"): 1.0,
+        ("shared", "device_no"): 1.0,
+        ("shared", "td_device_id"): 1.0,
+        ("shared", "remote_ip"): 1.0,
+        ("shared", "geo_code"): 1.0,
+    },
+    2: {
+        ("blacklisted", "uid"): 10.0,
     },
-    2: {("blacklisted", "uid"): 10.0},
     3: {
-        **{("blacklisted", t): 10.0 for t in ("phone_num", "identity_no")},
-        **{("shared", t): 0.1 for t in ASSOCIATED_TYPES},
+        ("blacklisted", "phone_num"): 10.0,
+        ("blacklisted", "identity_no"): 10.0,
+        ("shared", "phone_num"): 0.1,
+        ("shared", "identity_no"): 0.1,
+        ("shared", "card_no"): 0.1,
+        ("shared", "device_no"): 0.1,
+        ("shared", "td_device_id"): 0.1,
+        ("shared", "remote_ip"): 0.1,
+        ("shared", "geo_code"): 0.1,
     },
 }
 
@@ -173,59 +189,182 @@ BLACKLIST_CUT = "2025-11-20 00:00:00"
 # -- header rules -------------------------------------------------------------
 
 # Columns every delivered file of a dataset must have.
-_LINKMAN = ("id", "cid", "linkman_name", "mobile_phone", "relation_ship", "create_date", "modify_date")
-_SECOND_LINKMAN = (
-    "id",
-    "cid",
-    "second_linkman_name",
-    "second_mobile_phone",
-    "relation_ship",
-    "create_date",
-    "modify_date",
-)
-_CASE = (
-    "c_id",
-    "c_contact_phone_no",
-    "c_register_phone_no",
-    "c_customer_name",
-    "c_identity_no",
-    "d_create",
-    "d_update",
-)
 REQUIRED_COLUMNS = {
-    "blacklist_log": (
-        "c_customer_no c_reason_list c_mobile_phone c_identity_no d_begin_date n_banned_days n_duration"
-    ).split(),
-    "company_log": "id companyid cid company_name company_address tel_phone create_date modify_date".split(),
-    "complaint": list(_CASE),
-    "consumer_protection_case": list(_CASE),
-    "customer_log": (
-        "id baseid customer_name identity_no mobile_phone marital_status status apply_amount_channel "
-        "declared_degree modify_date create_date issue_channel regist_channel loan_apply_date "
-        "log_create_date log_modify_date"
-    ).split(),
-    "first_linkman": list(_LINKMAN),
-    "first_linkman_derived": list(_LINKMAN),
-    "lbs_gps": (
-        "id cid logitude latitude city_code city_name provice_code provice_name area_code area_name "
-        "address geo_code current_flag create_date modify_date"
-    ).split(),
-    "login": (
-        "phone_num cif_user_id channel_name login_time device_type device_no remote_ip app_channel "
-        "bundle_id app_version os_name os_version td_device_id province city last_active_channel date"
-    ).split(),
-    "logout": "id cid identity_no mobile_phone create_date modify_date".split(),
-    "order": (
-        "id channel_no loan_channel contract_no user_id apply_loan_name apply_loan_tel apply_ident_no "
-        "apply_loan_date sign_date repay_day apply_card_no apply_bank apply_bank_mobile repay_card_no "
-        "repay_bank repay_bank_mobile order_begin_date order_end_date firsttime_repay_date loan_date "
-        "overdue_date order_status settle_date create_date modify_date"
-    ).split(),
-    "repay_plan": (
-        "id order_id contract_no current_repay_date repayed_date early_repay_mark overdue_mark "
-        "overdue_days current_repay_status create_date modify_date"
-    ).split(),
-    "second_linkman": list(_SECOND_LINKMAN),
-    "second_linkman_derived": list(_SECOND_LINKMAN),
+    "blacklist_log": [
+        "c_customer_no",
+        "c_reason_list",
+        "c_mobile_phone",
+        "c_identity_no",
+        "d_begin_date",
+        "n_banned_days",
+        "n_duration",
+    ],
+    "company_log": [
+        "id",
+        "companyid",
+        "cid",
+        "company_name",
+        "company_address",
+        "tel_phone",
+        "create_date",
+        "modify_date",
+    ],
+    "complaint": [
+        "c_id",
+        "c_contact_phone_no",
+        "c_register_phone_no",
+        "c_customer_name",
+        "c_identity_no",
+        "d_create",
+        "d_update",
+    ],
+    "consumer_protection_case": [
+        "c_id",
+        "c_contact_phone_no",
+        "c_register_phone_no",
+        "c_customer_name",
+        "c_identity_no",
+        "d_create",
+        "d_update",
+    ],
+    "customer_log": [
+        "id",
+        "baseid",
+        "customer_name",
+        "identity_no",
+        "mobile_phone",
+        "marital_status",
+        "status",
+        "apply_amount_channel",
+        "declared_degree",
+        "modify_date",
+        "create_date",
+        "issue_channel",
+        "regist_channel",
+        "loan_apply_date",
+        "log_create_date",
+        "log_modify_date",
+    ],
+    "first_linkman": [
+        "id",
+        "cid",
+        "linkman_name",
+        "mobile_phone",
+        "relation_ship",
+        "create_date",
+        "modify_date",
+    ],
+    "first_linkman_derived": [
+        "id",
+        "cid",
+        "linkman_name",
+        "mobile_phone",
+        "relation_ship",
+        "create_date",
+        "modify_date",
+    ],
+    "lbs_gps": [
+        "id",
+        "cid",
+        "logitude",
+        "latitude",
+        "city_code",
+        "city_name",
+        "provice_code",
+        "provice_name",
+        "area_code",
+        "area_name",
+        "address",
+        "geo_code",
+        "current_flag",
+        "create_date",
+        "modify_date",
+    ],
+    "login": [
+        "phone_num",
+        "cif_user_id",
+        "channel_name",
+        "login_time",
+        "device_type",
+        "device_no",
+        "remote_ip",
+        "app_channel",
+        "bundle_id",
+        "app_version",
+        "os_name",
+        "os_version",
+        "td_device_id",
+        "province",
+        "city",
+        "last_active_channel",
+        "date",
+    ],
+    "logout": [
+        "id",
+        "cid",
+        "identity_no",
+        "mobile_phone",
+        "create_date",
+        "modify_date",
+    ],
+    "order": [
+        "id",
+        "channel_no",
+        "loan_channel",
+        "contract_no",
+        "user_id",
+        "apply_loan_name",
+        "apply_loan_tel",
+        "apply_ident_no",
+        "apply_loan_date",
+        "sign_date",
+        "repay_day",
+        "apply_card_no",
+        "apply_bank",
+        "apply_bank_mobile",
+        "repay_card_no",
+        "repay_bank",
+        "repay_bank_mobile",
+        "order_begin_date",
+        "order_end_date",
+        "firsttime_repay_date",
+        "loan_date",
+        "overdue_date",
+        "order_status",
+        "settle_date",
+        "create_date",
+        "modify_date",
+    ],
+    "repay_plan": [
+        "id",
+        "order_id",
+        "contract_no",
+        "current_repay_date",
+        "repayed_date",
+        "early_repay_mark",
+        "overdue_mark",
+        "overdue_days",
+        "current_repay_status",
+        "create_date",
+        "modify_date",
+    ],
+    "second_linkman": [
+        "id",
+        "cid",
+        "second_linkman_name",
+        "second_mobile_phone",
+        "relation_ship",
+        "create_date",
+        "modify_date",
+    ],
+    "second_linkman_derived": [
+        "id",
+        "cid",
+        "second_linkman_name",
+        "second_mobile_phone",
+        "relation_ship",
+        "create_date",
+        "modify_date",
+    ],
 }
 REQUIRED_ANY_OF: dict[str, list[list[str]]] = {}
