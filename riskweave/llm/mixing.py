@@ -31,6 +31,7 @@ TOTAL = 1.5
 MOST = 2.0
 #: The golden ratio's fraction in units of 2 ** -32: exact in 64-bit arithmetic.
 GOLDEN = 2654435769
+SPOT_BITS = 52
 ONE = 1 << 32
 
 
@@ -120,13 +121,20 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
         length *= 2
 
 
+def _spot() -> Column:
+    """Where a row stands in the shuffled order: SPOT_BITS bits of a hash of its id and text."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5("text"))
+    return F.conv(F.substring(F.md5(named), 1, SPOT_BITS // 4), 16, 10).cast("long")
+
+
 def laid_out(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``rows`` with source_no and ``start``: the words before each row on its source's line."""
     names = sources.select("source", "source_no", "source_size", "n_docs")
     placed = rows.join(F.broadcast(names) if names.count() <= 10_000 else names, rows["source"].eqNullSafe(names["source"]))
     placed = placed.drop(names["source"])
     buckets = F.ceil(F.col("n_docs") / BUCKET)
-    placed = placed.withColumn("bucket", F.pmod(F.shiftrightunsigned(F.col("spot"), 16), buckets))
+    # Buckets cut the range of spots evenly, so that the line follows the spots.
+    placed = placed.withColumn("bucket", F.floor(F.shiftright("spot", SPOT_BITS - 32) * buckets / F.lit(1 << 32)))
     return running(placed, ["source_no"], "bucket", [F.col("spot"), F.col("doc_id"), F.col("mark")], "size", "start")
 
 
@@ -137,8 +145,8 @@ def mixture(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     document that none takes. ``mark`` is a hash of the text.
     """
     rows = texts(docs, "source").withColumn("source", F.col("source").cast("string"))
-    rows = rows.select("doc_id", "source", F.xxhash64("text").alias("mark"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"))
-    rows = cut_lineage(rows.withColumn("spot", F.xxhash64("doc_id", "mark")))
+    rows = rows.select("doc_id", "source", F.xxhash64("text").alias("mark"), _spot().alias("spot"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"))
+    rows = cut_lineage(rows)
     sources = numbered_sources(rows)
     targets = source_targets(sources.select("source_no", "source_size", "n_docs"))
     slots = schedule(targets, block)

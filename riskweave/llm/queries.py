@@ -47,7 +47,7 @@ def op6_fingerprint_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken_words(documents(spark, sf_dir))
+    return taken_words(documents(spark, sf_dir)).drop("first_slot")
 
 
 def op8_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,38 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-#: No statement: the operators' hashes, encoders and trained weights have no SQL
-#: counterpart; tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {}
+#: The mix in closed form: every source takes the first words of its shuffled line, begun
+#: anew when it ends, up to its target. The schedule decides when, not how much.
+MIX_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+), sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(text)), 1, 13) AS spot
+  FROM docs
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * CAST(sum(size) AS DOUBLE) AS most,
+    CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight
+  FROM sized GROUP BY source
+), whole AS (
+  SELECT CAST(sum(source_size) AS DOUBLE) * 1.5 AS total FROM sources
+), rates(rate) AS (
+  SELECT total / sum(weight) FROM sources, whole GROUP BY total
+  UNION
+  SELECT (total - sum(CASE WHEN weight * rate > most THEN most ELSE 0 END)) / sum(CASE WHEN weight * rate > most THEN 0 ELSE weight END)
+  FROM rates, sources, whole GROUP BY rate, total
+), goals AS (
+  SELECT source, source_size, least(weight * (SELECT max(rate) FROM rates), most) AS target FROM sources
+), line AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS stop,
+    CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.spot, s.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS start
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+  greatest(0, least(start + size, stop) - start) + greatest(0, least(start + size + source_size, stop) - start - source_size) AS taken
+FROM line
+"""
+
+#: Other queries have no statement: the operators' hashes, encoders, suffix orders and
+#: trained weights have no SQL counterpart; tests/llm compares them with brute force.
+ORACLES: dict[str, str] = {"op7_source_mix": MIX_SQL}
