@@ -12,6 +12,7 @@ from riskweave.fixtures import raw_feeds
 from riskweave.operators import association as asc
 from riskweave.operators import graph as G
 from riskweave.operators import legacy
+from riskweave.operators.feeds import backfill_rows
 from riskweave.operators.risk import near_overdue_order, neighbour_edges
 from riskweave.plans import jobs
 from riskweave.session import scratch_path
@@ -156,6 +157,29 @@ def g14_edges(spark, sf):
 _UPDATES = "SELECT id, CASE WHEN seq % 2 = 0 THEN 'SETTLED' END AS order_status, create_date, seq FROM fx_order WHERE seq % 3 = 0"
 
 
+def _status_updates(spark, sf) -> DataFrame:
+    """Status rows, a fifth of them without a time, and as many of unknown orders."""
+    raw = feed(spark, sf, "order").filter(F.col("seq") % 3 == 0)
+    raw = raw.withColumn("order_status", F.when(F.col("seq") % 2 == 0, "SETTLED"))
+    raw = raw.withColumn("create_date", F.when(F.col("seq") % 5 != 0, F.col("create_date")))
+    strangers = raw.withColumn("id", F.concat(F.lit("missing-"), F.col("id")))
+    return backfill_rows("order", raw.unionByName(strangers))
+
+
+def _listed(spark, sf) -> DataFrame:
+    """Blacklist rows, a third of them without a time."""
+    raw = feed(spark, sf, "blacklist_log")
+    return backfill_rows("blacklist_log", raw.withColumn("d_begin_date", F.when(F.col("seq") % 3 != 0, F.col("d_begin_date"))))
+
+
+@register(
+    "G15_order_status_delta",
+    query(f"SELECT n.key, u.order_status FROM nodes n JOIN ({_UPDATES}) u ON u.id = n.key WHERE n.node_type = 'order' AND u.order_status IS NOT NULL"),
+)
+def g15_delta(spark, sf):
+    return G.order_status_delta(graph(spark, sf).nodes, _status_updates(spark, sf)).select("key", "order_status")
+
+
 @register(
     "G15_order_status_backfill",
     query(
@@ -164,10 +188,7 @@ _UPDATES = "SELECT id, CASE WHEN seq % 2 = 0 THEN 'SETTLED' END AS order_status,
     ),
 )
 def g15(spark, sf):
-    updates = rows(spark, sf, "order").filter(F.col("seq") % 3 == 0)
-    updates = updates.withColumn("order_status", F.when(F.col("seq") % 2 == 0, "SETTLED"))
-    strangers = updates.withColumn("order_id", F.concat(F.lit("missing-"), F.col("order_id")))
-    patched = G.backfill_order_status(graph(spark, sf).nodes, updates.unionByName(strangers))
+    patched = G.backfill_order_status(graph(spark, sf).nodes, _status_updates(spark, sf))
     return patched.filter(F.col("node_type") == "order").select("key", "order_status")
 
 
@@ -178,6 +199,17 @@ _ALL_MARKS = (
 )
 
 
+@register(
+    "G16_blacklist_delta",
+    query(
+        f"SELECT n.node_type, n.key, 'BLACKLISTED' AS status FROM nodes n JOIN ({_ALL_MARKS}) m "
+        "ON m.node_type = n.node_type AND m.key = n.key"
+    ),
+)
+def g16_delta(spark, sf):
+    return G.blacklist_delta(graph(spark, sf).nodes, _listed(spark, sf)).select("node_type", "key", "status")
+
+
 @register(
     "G16_blacklist_backfill",
     query(
@@ -188,7 +220,7 @@ _ALL_MARKS = (
     ),
 )
 def g16(spark, sf):
-    listed = G.valid_rows("blacklist_log", feed(spark, sf, "blacklist_log"))
+    listed = _listed(spark, sf)
     patched = G.backfill_blacklist(graph(spark, sf).nodes, listed)
     return patched.filter(F.col("node_type").isin(*rules.BLACKLISTABLE_TYPES)).select(
         "node_type", "key", "status", "is_blacklisted"
@@ -203,7 +235,7 @@ def g16(spark, sf):
     ),
 )
 def j13(spark, sf):
-    listed = G.valid_rows("blacklist_log", feed(spark, sf, "blacklist_log"))
+    listed = _listed(spark, sf)
     patched = G.backfill_blacklist(graph(spark, sf).nodes, listed)
     return (
         patched.filter(F.col("status") == "BLACKLISTED").groupBy("node_type").agg(F.count(F.lit(1)).alias("updated"))

@@ -216,6 +216,19 @@ def valid_rows(dataset: str, raw: DataFrame, max_ts: str | None = None) -> DataF
     return rows.filter(_before(max_ts)) if max_ts is not None else rows
 
 
+def backfill_rows(dataset: str, raw: DataFrame) -> DataFrame:
+    """Cleaned rows of a status backfill, which need no time.
+
+    Orders need their key and a status, blacklist rows any identifier. A row without a
+    time counts as older than all others.
+    """
+    rows = prepare(dataset, raw).drop("missing")
+    rows = rows.withColumn("ts", F.coalesce("ts", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    if dataset == "order":
+        return rows.filter(F.col("order_id").isNotNull() & F.col("order_status").isNotNull())
+    return rows.filter(F.coalesce("uid", "identity_no", "phone_num").isNotNull())
+
+
 def row_accounting(dataset: str, raw: DataFrame, max_ts: str | None = None) -> DataFrame:
     """Total, written and skipped rows, and skips per missing field, as one row."""
     rows = prepare(dataset, raw, max_ts)

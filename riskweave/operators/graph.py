@@ -406,6 +406,22 @@ def graph_summary(graph: Graph) -> DataFrame:
 # -- status backfills ---------------------------------------------------------
 
 
+def order_status_delta(nodes: DataFrame, order_rows: DataFrame) -> DataFrame:
+    """The existing order nodes that the rows name, with their newest known status."""
+    newest = _order_attributes(order_rows).select(*NODE_KEY, F.col("order_status.value").alias("_status"))
+    orders = nodes.filter(F.col("node_type") == "order")
+    touched = orders.join(newest.filter(F.col("_status").isNotNull()), NODE_KEY)
+    return touched.withColumn("order_status", F.col("_status")).drop("_status")
+
+
+def blacklist_delta(nodes: DataFrame, blacklist_rows: DataFrame) -> DataFrame:
+    """The existing uid, phone and identity nodes that the blacklist names, marked."""
+    listed = blacklist_marks(blacklist_rows).select(*NODE_KEY).distinct()
+    types = [F.col("node_type") == t for t in ("uid", "phone_num", "identity_no")]
+    touched = nodes.filter(types[0] | types[1] | types[2]).join(listed, NODE_KEY, "left_semi")
+    return touched.withColumns({"is_blacklisted": F.lit(True), "status": F.lit("BLACKLISTED")})
+
+
 def backfill_order_status(nodes: DataFrame, order_rows: DataFrame) -> DataFrame:
     """Set the newest known status on existing order nodes; others stay."""
     newest = _order_attributes(order_rows).select(*NODE_KEY, F.col("order_status.value").alias("_status"))
