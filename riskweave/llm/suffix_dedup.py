@@ -43,7 +43,7 @@ GRAM = 24
 BEFORE = WINDOW - GRAM
 KEY = WINDOW
 #: Bytes of text of a unit; of text for each bucket of hashes and each range, roughly.
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 RANGE_BYTES = 16 << 20
 #: Keys that the range borders are drawn from, at most, and one text in so many gives them.
