@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="riskweave-"))
+        if not configured:
+            own = tempfile.mkdtemp(prefix="riskweave-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(configured or own)
     return configured or sc.getCheckpointDir()
 
 
@@ -47,6 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/riskweave/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this library in the shared folder; for the end of a job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/riskweave")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     shared_dir(df.sparkSession)
