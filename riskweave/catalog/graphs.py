@@ -76,7 +76,7 @@ def g04(spark, sf):
 
 @register("G05_contact_edges", _edge_query("HAS_CONTACT_PHONE"))
 def g05(spark, sf):
-    return _edges_of(spark, sf, "first_linkman", "second_linkman")
+    return _edges_of(spark, sf, "first_linkman", "second_linkman", "first_linkman_derived", "second_linkman_derived")
 
 
 @register(
@@ -255,6 +255,8 @@ def g17_nodes(spark, sf):
         "UNION ALL SELECT 'lbs_gps', count(*), count(*), 0 FROM fx_lbs_gps "
         "UNION ALL SELECT 'first_linkman', count(*), count(*), 0 FROM fx_linkman "
         "UNION ALL SELECT 'second_linkman', count(*), count(*), 0 FROM fx_second_linkman "
+        "UNION ALL SELECT 'first_linkman_derived', count(*), count(*), 0 FROM fx_linkman_derived "
+        "UNION ALL SELECT 'second_linkman_derived', count(*), count(*), 0 FROM fx_second_linkman_derived "
         "UNION ALL SELECT 'logout', count(*), count(*), 0 FROM fx_logout "
         "UNION ALL SELECT 'order', count(*), count(*), 0 FROM fx_order "
         "UNION ALL SELECT 'repay_plan', count(*), count(*), 0 FROM fx_repay_plan "
@@ -270,12 +272,13 @@ def g17_summary(spark, sf):
 
 
 def _stored(spark, sf, compact: bool):
-    """The graph stored in three batches, the first delivered twice."""
+    """The graph stored in four batches, the first delivered twice."""
     store = GraphStore(spark, scratch_path(spark, "store"))
     groups = (
         ("customer_log", "login", "lbs_gps", "logout"),
         ("order", "repay_plan", "company_log"),
         ("first_linkman", "second_linkman", "complaint", "consumer_protection_case", "blacklist_log"),
+        ("first_linkman_derived", "second_linkman_derived"),
     )
     for batch, names in enumerate(groups):
         store.append("feeds", batch, {d: rows(spark, sf, d) for d in names})

@@ -54,6 +54,14 @@ BLOCKS: dict[str, str] = {
         "SELECT 'U' || CAST(user_id AS VARCHAR) AS cid, 'p' || CAST(k + 50 AS VARCHAR) AS second_mobile_phone, "
         "ts AS create_date, event_id AS seq FROM fx_ev WHERE event_type = 'purchase' AND event_id % 2 = 1"
     ),
+    "fx_linkman_derived": (
+        "SELECT cid, CASE WHEN seq % 4 = 0 THEN mobile_phone ELSE mobile_phone || 'x' END AS mobile_phone, create_date, seq "
+        "FROM fx_linkman"
+    ),
+    "fx_second_linkman_derived": (
+        "SELECT cid, CASE WHEN seq % 3 = 0 THEN second_mobile_phone ELSE second_mobile_phone || 'y' END AS second_mobile_phone, "
+        "create_date, seq FROM fx_second_linkman"
+    ),
     "fx_customer_log": (
         "SELECT 'U' || CAST(user_id AS VARCHAR) AS baseid, CASE WHEN k % 11 = 0 THEN NULL "
         "ELSE 'i' || CAST(user_id AS VARCHAR) END AS identity_no, "
@@ -111,7 +119,9 @@ BLOCKS: dict[str, str] = {
     "c_lbs_gps": f"SELECT {key('cid')} AS uid, {key('geo_code')} AS geo_code, create_date AS ts, seq FROM fx_lbs_gps",
     "c_contacts": (
         f"SELECT {key('cid')} AS uid, {key('mobile_phone')} AS phone_num, create_date AS ts, seq FROM fx_linkman "
-        f"UNION ALL SELECT {key('cid')}, {key('second_mobile_phone')}, create_date, seq FROM fx_second_linkman"
+        f"UNION ALL SELECT {key('cid')}, {key('second_mobile_phone')}, create_date, seq FROM fx_second_linkman "
+        f"UNION ALL SELECT {key('cid')}, {key('mobile_phone')}, create_date, seq FROM fx_linkman_derived "
+        f"UNION ALL SELECT {key('cid')}, {key('second_mobile_phone')}, create_date, seq FROM fx_second_linkman_derived"
     ),
     "c_logout": (
         f"SELECT {key('cid')} AS uid, {key('identity_no')} AS identity_no, {key('mobile_phone')} AS phone_num, "

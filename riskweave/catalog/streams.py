@@ -111,6 +111,8 @@ _ALL_EVENTS = (
     "UNION ALL SELECT 'gps', create_date, 2, seq, 0, '' FROM fx_lbs_gps "
     "UNION ALL SELECT 'contact_edit', create_date, 3, seq, 0, '' FROM fx_linkman "
     "UNION ALL SELECT 'contact_edit', create_date, 4, seq, 0, '' FROM fx_second_linkman "
+    "UNION ALL SELECT 'contact_edit', create_date, 5, seq, 0, '' FROM fx_linkman_derived "
+    "UNION ALL SELECT 'contact_edit', create_date, 6, seq, 0, '' FROM fx_second_linkman_derived "
     "UNION ALL SELECT 'logout', create_date, 7, seq, 0, '' FROM fx_logout "
     "UNION ALL SELECT 'company_update', modify_date, 8, seq, 0, '' FROM fx_company_log "
     "UNION ALL SELECT 'repayment_plan', current_repay_date, 9, NULL, 0, '' FROM fx_repay_plan "

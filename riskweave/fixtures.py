@@ -21,7 +21,9 @@ def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dataset name -> raw feed."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _FEEDS:
-        _FEEDS[known] = _build(spark, sf_dir)
+        feeds = _build(spark, sf_dir)
+        derived = {"first_linkman_derived": derived_linkman(feeds), "second_linkman_derived": derived_second_linkman(feeds)}
+        _FEEDS[known] = feeds | derived
     return dict(_FEEDS[known])
 
 
@@ -130,3 +132,13 @@ def derived_linkman(feeds: dict[str, DataFrame]) -> DataFrame:
         "create_date",
         "seq",
     )
+
+
+def derived_second_linkman(feeds: dict[str, DataFrame]) -> DataFrame:
+    """The same for the second contacts."""
+    return feeds["second_linkman"].selectExpr(
+        "cid",
+        "CASE WHEN seq % 3 = 0 THEN second_mobile_phone ELSE concat(second_mobile_phone, 'y') END AS second_mobile_phone",
+        "create_date",
+        "seq",
+    )
