@@ -13,7 +13,7 @@ from riskweave.session import cut_lineage, scratch_path
 #: Arrow batches that Python tasks get: bounded in rows and in bytes, so that very
 #: long texts do not meet in one batch.
 BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: The separators of words, as a Java or Python character class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -74,11 +74,11 @@ def record_batch(schema: pa.Schema, *columns: Sequence) -> pa.RecordBatch:
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b: long); root is the smallest node it reaches.
 
-    Every round points each node at its smallest neighbour and contracts the links
-    to the ends' targets, so that the links shrink until none is left. All steps
-    are hash aggregates and equi-joins; hubs aggregate before the shuffle and large
-    join keys are left to the adaptive skew join. Repeated and self links are
-    harmless; an empty table gives an empty result.
+    Every round points each node at its smallest neighbour, follows those pointers to
+    their ends by doubling, and contracts the links to the ends, so that the links
+    shrink until none is left. All steps are hash aggregates and equi-joins; hubs
+    aggregate before the shuffle and large join keys are left to the adaptive skew
+    join. Repeated and self links are harmless; an empty table gives an empty result.
     """
     flat = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     edges = cut_lineage(flat.filter("a < b").distinct())
@@ -87,6 +87,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("b"))
         step = cut_lineage(low.select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
+        while True:
+            ahead = step.select(F.col("node").alias("root"), F.col("root").alias("_end"))
+            jump = cut_lineage(step.join(ahead, "root").select("node", "root", "_end"))
+            step = jump.select("node", F.col("_end").alias("root"))
+            if jump.filter("root != _end").isEmpty():
+                break
         if roots is None:
             roots = step
         else:

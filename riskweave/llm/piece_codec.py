@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -32,6 +32,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Parts whose ids a task keeps.
 PARTS = 300_000
+#: Texts that are split into parts at a time.
+TEXTS = 250
+#: Ids in memory.
+IDS = np.dtype("<i4")
 #: New parts that the library encodes together, held apart by a token of our own.
 GROUP = 256
 APART = "\uE000\uE001"
@@ -109,9 +113,9 @@ class PieceCodec:
         self.pieces_set = frozenset(self.pieces)
         self.silent = {i for i, p in enumerate(self.model.pieces) if p.type == CONTROL}
         self.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         own = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        if self.encode(list(PROBES)) != own.encode(list(PROBES), num_threads=1):
+        if [np.frombuffer(b, dtype=IDS).tolist() for b in self.encode(list(PROBES))] != own.encode(list(PROBES), num_threads=1):
             raise ValueError("the rebuilt encoder differs from the model's library")
 
     def marked(self, text: str) -> str:
@@ -126,11 +130,11 @@ class PieceCodec:
         groups = [joined[i : i + GROUP] for i in range(0, len(joined), GROUP)]
         found = self.library.encode_batch([APART.join(g) for g in groups], add_special_tokens=False)
         for group, one in zip(groups, found):
-            ids = one.ids
-            cuts = [i for i, x in enumerate(ids) if x == self.apart]
-            self.known.update(zip(group, (ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))))
+            ids = np.array(one.ids, dtype=IDS)
+            cuts = np.nonzero(ids == self.apart)[0].tolist()
+            self.known.update(zip(group, (ids[a:b].tobytes() for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))))
         rest = list(set(parts).difference(joined))
-        self.known.update((p, self.alone(p)) for p in rest)
+        self.known.update((p, np.array(self.alone(p), dtype=IDS).tobytes()) for p in rest)
 
     def alone(self, part: str) -> list[int]:
         """A part that holds the characters of APART, which are then ordinary ones."""
@@ -142,13 +146,17 @@ class PieceCodec:
                 out += self.library.encode(piece, add_special_tokens=False).ids
         return out
 
-    def encode(self, found: list[str]) -> list[list[int]]:
-        split = [self.parts.findall(self.marked(t)) for t in found]
-        if len(self.known) >= PARTS:
-            self.known.clear()
-        self.learn(list(set().union(*split).difference(self.known)))
-        get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, parts))) for parts in split]
+    def encode(self, found: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of IDS."""
+        out = []
+        for first in range(0, len(found), TEXTS):
+            split = [self.parts.findall(self.marked(t)) for t in found[first : first + TEXTS]]
+            if len(self.known) >= PARTS:
+                self.known.clear()
+            self.learn(list(set().union(*split).difference(self.known)))
+            get = self.known.__getitem__
+            out += [b"".join(map(get, parts)) for parts in split]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: byte pieces join to characters, marks become spaces."""
@@ -168,10 +176,13 @@ def encoded(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = PieceCodec(model_file)
         for doc_ids, found in batches(rows):
-            ids = codec.encode(found)
-            same = [codec.decode(i) == t for i, t in zip(ids, found)] if check else [None] * len(ids)
-            columns = [doc_ids, [len(i) for i in ids], ids, same]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+            raw = codec.encode(found)
+            sizes = np.array([len(b) // IDS.itemsize for b in raw], dtype=np.int32)
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype=IDS)))
+            same = [codec.decode(np.frombuffer(b, dtype=IDS).tolist()) == t for b, t in zip(raw, found)] if check else [None] * len(raw)
+            columns = [pa.array(doc_ids, pa.int64()), pa.array(sizes.astype(np.int64)), ids, pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
