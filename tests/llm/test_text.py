@@ -1,0 +1,208 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from riskweave.llm import piece_codec, repetition, secret_spans, token_files, token_prefix
+from riskweave.session import scratch_path
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def odd_strings(n, seed=1):
+    rng = random.Random(seed)
+    alphabet = "ab \n▁é☃ the  eΣσΑİß'sdT.,\U0001f600<s></s>\x00\x1c\x85\ue000\ue001"
+    found = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(n)]
+    return found + [" " * k for k in range(40)] + ["x" + " " * k + "y" for k in range(40)] + ["a" * k for k in range(40)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def test_counts_of_all_prefixes(library):
+    counter = token_prefix.PrefixCounter(MODEL)
+    for text in odd_strings(150) + ["The quick  brown fox\njumps. Grüße élève"]:
+        want = [len(x) for x in library.encode([text[:i] for i in range(len(text) + 1)], num_threads=1)]
+        assert counter.every_prefix(text).tolist() == want
+
+
+def test_counts_and_truncation(odd, odd_rows, library):
+    counter = token_prefix.PrefixCounter(MODEL)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit, r.fit_chars) for r in token_prefix.token_counts(odd, MODEL, 50).collect())
+    want = []
+    for d, t, _ in odd_rows:
+        t = t or ""
+        n = len(library.encode(t))
+        fit = max(i for i, k in enumerate(counter.every_prefix(t)) if k <= 50)
+        want.append((str(d), len(t.encode()), n, n > 50, fit))
+    assert got == sorted(want)
+
+
+def test_counts_of_an_empty_table(none):
+    assert token_prefix.token_counts(none, MODEL).count() == 0
+
+
+def brute_rules(text):
+    words = WORD.findall(text or "")
+    seen = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    hit = {i + k for i in range(len(words) - 7) if seen[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    longest = 0
+    for n in range(1, len(words)):
+        found = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        if max(found.values()) < 2:
+            break
+        longest = n
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(hit), failed, longest
+
+
+def test_rules_against_brute_force(spark):
+    from helpers import frame
+
+    rng = random.Random(2)
+    rows = []
+    for i in range(150):
+        words = [rng.choice("a b c dd é ☃ | ## \x0b \n\n \n".split(" ")) for _ in range(rng.randrange(60))]
+        if i % 3 == 0:
+            words += words[: rng.randrange(30)]
+        rows.append((i, rng.choice([" ", "\n", " \t"]).join(words) if i % 20 else None, "a"))
+    got = {r.doc_id: r for r in repetition.quality_rules(frame(spark, rows)).collect()}
+    for i, text, _ in rows:
+        r, want = got[i], brute_rules(text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.longest_repeat) == want
+        good = r.n_covered <= 0.3 * r.n_words and r.longest_repeat <= max(25, 0.15 * r.n_words)
+        assert r.kept == (not r.base_failed and good)
+
+
+def test_rules_on_odd_rows(odd, odd_rows, none):
+    rows = repetition.quality_rules(odd).collect()
+    assert len(rows) == len(odd_rows)
+    kept = {r.doc_id for r in rows if r.kept}
+    assert {1, 2, 3, 4, 8, 11, 12} <= kept and not kept & {5, 6, 7, 9, 10, 13, 14}
+    left = repetition.kept_rows(odd)
+    assert left.columns == odd.columns and left.count() == sum(r.kept for r in rows)
+    assert repetition.quality_rules(none).count() == 0 and repetition.kept_rows(none).count() == 0
+
+
+def test_codec_agrees_with_the_library(library):
+    codec = piece_codec.PieceCodec(MODEL)
+    found = odd_strings(3000)
+    ids = [np.frombuffer(b, dtype=piece_codec.IDS).tolist() for b in codec.encode(found)]
+    assert ids == library.encode(found, num_threads=1)
+    assert [codec.decode(i) for i in ids] == library.decode(ids)
+
+
+def test_codec_rebuilds_unigram_models(tmp_path):
+    # No unigram model is given: a few pieces written by hand check the scores' path.
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    model.trainer_spec.model_type = piece_codec.UNIGRAM
+    model.trainer_spec.byte_fallback = True
+    model.normalizer_spec.add_dummy_prefix = True
+    model.normalizer_spec.remove_extra_whitespaces = False
+    model.normalizer_spec.escape_whitespaces = True
+    for piece, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        model.pieces.add(piece=piece, score=0, type=kind)
+    for b in range(256):
+        model.pieces.add(piece=f"<0x{b:02X}>", score=0, type=6)
+    for i, piece in enumerate(["▁", "a", "b", "ab", "▁a", "▁ab", "ba", "é"]):
+        model.pieces.add(piece=piece, score=-1.0 - i / 10, type=1)
+    library = piece_codec.rebuilt(model)
+    assert library.encode("▁abab").tokens == ["▁ab", "ab"]
+    assert library.encode("▁é").tokens == ["▁", "é"]
+
+
+def test_encoded_and_decoded(odd, odd_rows, none, library):
+    rows = piece_codec.encoded(odd, MODEL)
+    got = sorted((str(r.doc_id), r.n_tokens, r.ids) for r in rows.collect())
+    assert got == sorted((str(d), len(library.encode(t or "")), library.encode(t or "")) for d, t, _ in odd_rows)
+    assert {r.doc_id for r in rows.collect() if not r.round_trip} == {13}  # a literal mark
+    back = {(r.doc_id, r.text) for r in piece_codec.decoded(rows, MODEL).collect()}
+    assert back == {(d, (t or "").replace("▁", " ")) for d, t, _ in odd_rows}
+    assert piece_codec.encoded(none, MODEL).count() == 0
+
+
+def test_word_encoder_agrees_with_the_library():
+    whole = Tokenizer.from_file(WORD_FILE)
+    found = odd_strings(5000) + ["a <|endoftext|>b<|startoftext|> C", "ΟΔΟΣ ΟΔΟΣ\nx", "<|", "x<|endoftext|>"]
+    kind = np.dtype("<u2")
+    got = [np.frombuffer(b, dtype=kind).tolist() for b in token_files.WordEncoder(WORD_FILE).encode(found, kind)]
+    assert got == [e.ids for e in whole.encode_batch(found, add_special_tokens=False)]
+
+
+def test_token_files_round_trip(spark, odd, odd_rows, none, monkeypatch):
+    monkeypatch.setattr(token_files, "SET_BYTES", 20_000)
+    path = scratch_path(spark, "test-tokens")
+    rows = token_files.token_files(odd, WORD_FILE, 2, path).collect()
+    whole = Tokenizer.from_file(WORD_FILE)
+    order = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    want, start = [], 0
+    for d, t, _ in order:
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 2]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    assert sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == [(s, d, n, c) for d, s, n, c in want]
+    assert token_files.token_files(none, WORD_FILE).count() == 0
+
+
+def brute_spans(text):
+    found = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, m.end(), "assign"))
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_base_spans(spark, none):
+    from helpers import frame
+
+    rng = random.Random(9)
+    bits = ["password", "Passwd", "API_KEY", "apikey", "secret", "TOKEN", "=", " : ", "'", '"', "abcdef", "0123456789abcdef" * 2, "AKIA", "ABCDEFGHIJKLMNOP", "é☃ ", "x.y-z/", "\n"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(15))), "a") for i in range(400)]
+    got = {r.doc_id: r for r in secret_spans.secret_spans(frame(spark, rows)).collect()}
+    for i, text, _ in rows:
+        spans = brute_spans(text)
+        shown = ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+        r = got[i]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x[1] == k for x in spans) for k in range(3)]
+        assert r.base_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+        assert set(filter(None, shown.split(","))) <= set(r.spans.split(","))
+    assert secret_spans.secret_spans(none).count() == 0
+
+
+def test_randomness_tells_keys_from_words(spark):
+    from helpers import frame
+
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(chars) for _ in range(44)) for _ in range(40)]
+    words = ["version1-" + "-".join(["release"] * 6) for _ in range(40)] + ["under_score_name_one_two_three_3" * 2] * 40
+    rows = [(i, f"see {k} here", "a") for i, k in enumerate(keys)] + [(100 + i, f"see {w} here", "a") for i, w in enumerate(words)]
+    got = {r.doc_id: r.spans for r in secret_spans.secret_spans(frame(spark, rows)).collect()}
+    assert sum(got[i] == f"random:4:{4 + len(k)}" for i, k in enumerate(keys)) >= 36
+    assert not any(got[100 + i] for i in range(len(words)))
+
+
+def test_redacted(odd, none):
+    clean = secret_spans.redacted(odd)
+    rows = {r.doc_id: r for r in clean.collect()}
+    assert clean.columns == odd.columns
+    assert rows[15].text == "[secret] and [secret] [secret]'" and rows[15].n_chars == len(rows[15].text)
+    assert rows[5].text is None and rows[6].text == ""
+    assert secret_spans.redacted(none).count() == 0
