@@ -321,6 +321,8 @@ _LEGACY = " UNION ".join(
         ("fx_lbs_gps", "cid", "create_date", "gps_geo_code", "geo_code", "geo_code"),
         ("fx_linkman", "cid", "create_date", "linkman_phone_num", "phone_num", "mobile_phone"),
         ("fx_second_linkman", "cid", "create_date", "linkman_phone_num", "phone_num", "second_mobile_phone"),
+        ("fx_linkman_derived", "cid", "create_date", "linkman_phone_num", "phone_num", "mobile_phone"),
+        ("fx_second_linkman_derived", "cid", "create_date", "linkman_phone_num", "phone_num", "second_mobile_phone"),
         ("fx_login", "cif_user_id", "login_time", "login_phone_num", "phone_num", "phone_num"),
         ("fx_login", "cif_user_id", "login_time", "login_device_no", "device_no", "device_no"),
         ("fx_login", "cif_user_id", "login_time", "login_td_device_id", "td_device_id", "td_device_id"),
