@@ -27,14 +27,16 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import batches, connected_components, record_batch, text_bytes, texts, written
 from riskweave.llm.simhash_trie import majority, shingles, trie_links
+from riskweave.session import cut_lineage
 
 RADIUS, TURNS = 8, 3
 #: Words of fewer letters say nothing of a text unless it has no others.
 LONG = 4
-#: Texts whose shingles one task indexes at a time.
-CHUNK = 3000
+#: Texts, and their words, of a chunk; a task indexes the shingles of two chunks at a time.
+CHUNK = 1500
+CHUNK_WORDS = 500_000
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("whole", pa.int64()), ("fp", pa.int64()), ("set", pa.binary())])
+PRINTS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("whole", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
 
 
 def mark_of(text: str) -> Column:
@@ -46,25 +48,38 @@ def _signed(x: int) -> int:
     return x - ((x >> 63) << 64)
 
 
-def prints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, mark, whole, fp, set) of each row: hashes of the text and of its words, the fingerprint, the shingles' hashes."""
+def prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, whole, fp, size) of each row: hashes of the text and of its words, the fingerprint of its distinct longer words, its words."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for ids, raw, marks in batches(rows):
             votes: list[int] = []
-            counts, wholes, sets = [], [], []
+            counts, wholes, sizes = [], [], []
             for b in raw:
                 ws = b.lower().split()
-                long_ = [w for w in ws if len(w) >= LONG] or ws
+                long_ = {w for w in ws if len(w) >= LONG} or set(ws)
+                sizes.append(len(ws))
                 counts.append(len(long_))
                 votes += [digest(w, 42) for w in long_]
                 wholes.append(_signed(digest(b" ".join(ws))))
-                sets.append(np.unique(np.array([digest(s, 42) for s in shingles(ws, words)], dtype=np.uint64)).tobytes())
-            yield record_batch(PRINTS, ids, marks, wholes, majority(votes, counts), sets)
+            yield record_batch(PRINTS, ids, marks, wholes, majority(votes, counts), sizes)
 
     marked = text_bytes(docs).withColumn("mark", mark_of("text"))
-    return marked.mapInArrow(run, "doc_id long, mark long, whole long, fp long, set binary")
+    return marked.mapInArrow(run, "doc_id long, mark long, whole long, fp long, size long")
+
+
+def with_sets(rows: DataFrame, words: int) -> DataFrame:
+    """(whole, root, chunks, set) of rows (whole, root, chunks, text): the shingles' hashes for the text."""
+    schema = pa.schema([("whole", pa.int64()), ("root", pa.int64()), ("chunks", pa.int32()), ("set", pa.binary())])
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for whole, root, chunks, raw in batches(found):
+            sets = [np.unique(np.array([digest(s, 42) for s in shingles(b.lower().split(), words)], dtype=np.uint64)).tobytes() for b in raw]
+            yield record_batch(schema, whole, root, chunks, sets)
+
+    return rows.select("whole", "root", "chunks", "text").mapInArrow(run, "whole long, root long, chunks int, set binary")
 
 
 def similar(sets: list[np.ndarray], fresh: int, similarity: float) -> np.ndarray:
@@ -117,20 +132,21 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
 
     The group's names are those of its smallest doc_id; ``mark`` is :func:`mark_of` the text.
     """
-    table = written(prints(docs, words), "copies")
+    table = written(prints(docs), "copies")
     least = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
-    classes = table.groupBy("whole").agg(F.min(least).alias("head"), F.min("fp").alias("fp"))
-    classes = written(classes.select("whole", "fp", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")), "copy-classes")
+    classes = table.groupBy("whole").agg(F.min(least).alias("head"), F.min("fp").alias("fp"), F.min("size").alias("size"))
+    classes = written(classes.select("whole", "fp", "size", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")), "copy-classes")
     proposed = connected_components(trie_links(classes.select("fp").distinct(), radius, turns))
-    with_set = classes.alias("c").join(
-        table.select("doc_id", "mark", "set").dropDuplicates(["doc_id", "mark"]).alias("t"),
-        F.col("c.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("c.mark") == F.col("t.mark")),
-    )
-    with_set = with_set.select("whole", "fp", "set")
-    dealt = with_set.join(proposed.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    sizes = dealt.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sizes = sizes.select("root", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    dealt = dealt.join(sizes, "root")
+    rooted = classes.join(proposed.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).filter("n > 1")
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("words") / CHUNK_WORDS), F.lit(1)).cast("int")
+    sizes = sizes.select("root", chunks.alias("chunks"))
+    # Only texts that have a proposed partner are read again and travel.
+    asked = rooted.join(sizes, "root").select("whole", "root", "chunks", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    asked = cut_lineage(asked)
+    whole_texts = text_bytes(docs).withColumn("mark", mark_of("text"))
+    same = whole_texts["doc_id"].eqNullSafe(asked["_id"]) & (whole_texts["mark"] == asked["_mark"])
+    dealt = with_sets(whole_texts.join(asked, same), words)
     own = F.pmod(F.xxhash64("whole"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(own, c).alias("i"), F.greatest(own, c).alias("j")))
     dealt = dealt.select("whole", "set", "root", own.alias("own"), F.explode(pairs).alias("c"))

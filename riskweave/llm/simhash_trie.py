@@ -34,7 +34,7 @@ from riskweave.llm.common import batches, connected_components, record_batch, te
 #: Fingerprints that one cell holds before it is dealt out in chunks.
 CELL = 50_000
 #: Node pairs or leaf pairs that a task works on at a time.
-FRONT = 1 << 20
+FRONT = 1 << 17
 #: Node pairs of at most so many leaf pairs are compared leaf by leaf.
 LEAVES = 64
 
