@@ -46,8 +46,10 @@ KEY = WINDOW
 UNIT_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 RANGE_BYTES = 16 << 20
-#: Keys that the range borders are drawn from, at most, and one text in so many gives them.
+#: Keys that the range borders are drawn from, at most; a text gives about one in
+#: BORDER_BYTES bytes, and so many texts are asked as give twice the keys.
 BORDER_KEYS = 20_000
+BORDER_BYTES = 850
 #: Places of one context that a unit sends along with it; if there are more it sends the
 #: first, and finds the others again when the answer is there.
 PLACES = 32
@@ -514,7 +516,7 @@ def removed(docs: DataFrame) -> DataFrame:
     ranges = max(1, math.ceil(total / RANGE_BYTES))
     borders = np.zeros(0, dtype=f"S{KEY}")
     if ranges > 1:
-        keys = sample_keys(rows, max(1, total // (256 << 20)))
+        keys = sample_keys(rows, max(1, total // (2 * BORDER_KEYS * BORDER_BYTES)))
         borders = np.unique(keys[np.linspace(0, len(keys) - 1, ranges + 1).astype(int)[1:-1]]) if len(keys) else borders
     dealt = rows.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).cast("int"))
 
