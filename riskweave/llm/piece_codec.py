@@ -15,6 +15,7 @@ sentencepiece library; ``round_trip`` tells.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -25,15 +26,19 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from tokenizers import AddedToken, Tokenizer, decoders, models, normalizers
 
-from riskweave.llm.common import batches, texts
+from riskweave.llm.common import batches, bounded_batches, texts
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Parts whose ids a task keeps.
-PARTS = 300_000
+PARTS = 100_000
+#: Bytes of a batch of texts; their ids are several times as large on the way back.
+BATCH_BYTES = 1 << 20
 #: Texts that are split into parts at a time.
 TEXTS = 250
+#: Threads of the library in a task; each keeps memory of its own.
+THREADS = 2
 #: Ids in memory.
 IDS = np.dtype("<i4")
 #: New parts that the library encodes together, held apart by a token of our own.
@@ -174,6 +179,7 @@ def encoded(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         codec = PieceCodec(model_file)
         for doc_ids, found in batches(rows):
             raw = codec.encode(found)
@@ -184,7 +190,9 @@ def encoded(docs: DataFrame, model_file: str, check: bool = True) -> DataFrame:
             columns = [pa.array(doc_ids, pa.int64()), pa.array(sizes.astype(np.int64)), ids, pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    rows = texts(docs)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decoded(tokens: DataFrame, model_file: str) -> DataFrame:
