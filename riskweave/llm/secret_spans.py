@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests.
 
-The battery looks at every run of 20 or more characters of encoded data. It infers the
-smallest alphabet that holds the run and tests whether its characters are as random as a
+The battery looks at every run of 20 or more characters of encoded data, '=' only at its
+end. It infers the smallest alphabet that holds the run and tests whether its characters are as random as a
 key's: a chi-squared test of uniformity, a runs test about the middle of the alphabet and
 a test of the serial correlation of neighbours, joined by Fisher's method. What is not
 random, long words, paths and tables, is told apart from keys by false-discovery control:
@@ -40,6 +40,8 @@ KINDS = ("assign", "access", "hex", "random")
 #: Runs that the battery tests, and what it asks of them.
 RUN_LEAST = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Encoded data holds '=' only as padding at its end, so that NAME=value is two parts.
+PART = re.compile(r"[A-Za-z0-9+/_-]+=*")
 MIN_BITS = 64
 FALSE_DISCOVERY = 0.05
 #: Length classes start here; p-values are counted in bins of a tenth of -log10 p.
@@ -130,15 +132,18 @@ def tested_runs(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> list
         return []
     out = []
     for m in RUN.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for _, s, e in base):
+        if any(s < m.end() and m.start() < e for _, s, e in base):
             continue
-        p, bits = randomness(m[0])
-        able = bits >= MIN_BITS and mixed(m[0])
-        bin_ = min(BINS - 1, int(-10 * math.log10(max(p, 1e-300))))
-        kind = 3 if able else -1
-        length_class = max(i for i, least in enumerate(CLASSES) if end - start >= least)
-        out.append((kind, start, end, length_class, bin_))
+        for part in PART.finditer(text, *m.span()):
+            start, end = part.span()
+            if end - start < RUN_LEAST:
+                continue
+            p, bits = randomness(part[0])
+            able = bits >= MIN_BITS and mixed(part[0])
+            bin_ = min(BINS - 1, int(-10 * math.log10(max(p, 1e-300))))
+            kind = 3 if able else -1
+            length_class = max(i for i, least in enumerate(CLASSES) if end - start >= least)
+            out.append((kind, start, end, length_class, bin_))
     return out
 
 

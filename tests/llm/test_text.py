@@ -199,6 +199,25 @@ def test_randomness_tells_keys_from_words(spark):
     assert not any(got[100 + i] for i in range(len(words)))
 
 
+def random_spans(spark, before, after="", n=40, size=44):
+    """How many of ``n`` random keys written between ``before`` and ``after`` are found and masked exactly."""
+    from helpers import frame
+
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(chars) for _ in range(size)) for _ in range(n)]
+    docs = frame(spark, [(i, before + k + after, "a") for i, k in enumerate(keys)])
+    got = {r.doc_id: r.spans.split(",") for r in secret_spans.secret_spans(docs).collect()}
+    clean = {r.doc_id: r.text for r in secret_spans.redacted(docs).collect()}
+    want = f"random:{len(before)}:{len(before) + size + (len(after) - len(after.lstrip('=')))}"
+    return sum(want in got[i] and k not in clean[i] for i, k in enumerate(keys))
+
+
+@pytest.mark.parametrize("before, after", [("AccountKey=", "=="), ("client_key=", " x"), ("https://h.io/a?sig=", "&se=1"), ("AWS_ACCESS=", ""), ("A_NAME_OF_TWENTY_AND_MORE=", "")])
+def test_random_values_after_names(spark, before, after):
+    assert random_spans(spark, before, after) >= 36
+
+
 def test_redacted(odd, none):
     clean = secret_spans.redacted(odd)
     rows = {r.doc_id: r for r in clean.collect()}
