@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests.
 
 The battery looks at every run of 20 or more characters of encoded data, '=' only at its
-end. It infers the smallest alphabet that holds the run and tests whether its characters are as random as a
+end and the spans of fixed patterns cut out. It infers the smallest alphabet that holds the run and tests whether its characters are as random as a
 key's: a chi-squared test of uniformity, a runs test about the middle of the alphabet and
 a test of the serial correlation of neighbours, joined by Fisher's method. What is not
 random, long words, paths and tables, is told apart from keys by false-discovery control:
@@ -42,6 +42,8 @@ RUN_LEAST = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Encoded data holds '=' only as padding at its end, so that NAME=value is two parts.
 PART = re.compile(r"[A-Za-z0-9+/_-]+=*")
+#: What may join a part to a base span beside it.
+JOINS = "/_-"
 MIN_BITS = 64
 FALSE_DISCOVERY = 0.05
 #: Length classes start here; p-values are counted in bins of a tenth of -log10 p.
@@ -123,23 +125,41 @@ def mixed(run: str) -> bool:
     return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
 
 
+def parts(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of a run that are left when the base spans are cut out.
+
+    One separator that joined a part to a base span goes with the cut.
+    """
+    holes = sorted((s, e) for _, s, e in base if s < end and start < e)
+    left, cut = start, False
+    for s, e in [*holes, (end, end)]:
+        right = min(s, end)
+        if left < right:
+            first, last = left, right
+            if cut and text[first] in JOINS:
+                first += 1
+            if s < end and first < last and text[last - 1] in JOINS:
+                last -= 1
+            for m in PART.finditer(text, first, last):
+                if m.end() - m.start() >= RUN_LEAST:
+                    yield m.span()
+        if e > left:
+            left, cut = e, True
+
+
 def tested_runs(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(kind, start, end, length class, bin) of each tested run that overlaps no base span.
+    """(kind, start, end, length class, bin) of each tested part of a run; none overlaps a base span.
 
-    A run that cannot become a span is tested as well: it belongs to the family.
+    A part that cannot become a span is tested as well: it belongs to the family.
     """
     if b"x" * RUN_LEAST not in raw.translate(IS_RUN):
         return []
     out = []
     for m in RUN.finditer(text):
-        if any(s < m.end() and m.start() < e for _, s, e in base):
-            continue
-        for part in PART.finditer(text, *m.span()):
-            start, end = part.span()
-            if end - start < RUN_LEAST:
-                continue
-            p, bits = randomness(part[0])
-            able = bits >= MIN_BITS and mixed(part[0])
+        for start, end in parts(text, *m.span(), base):
+            part = text[start:end]
+            p, bits = randomness(part)
+            able = bits >= MIN_BITS and mixed(part)
             bin_ = min(BINS - 1, int(-10 * math.log10(max(p, 1e-300))))
             kind = 3 if able else -1
             length_class = max(i for i, least in enumerate(CLASSES) if end - start >= least)
