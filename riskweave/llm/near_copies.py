@@ -3,10 +3,11 @@
 A few changed words break five times as many 5-word shingles, so that fingerprints of
 shingles drift far apart at a similarity of 0.8, while fingerprints of the texts' longer
 words hardly move. Those propose: the binary trie join of
-:mod:`riskweave.llm.simhash_trie` connects what differs in RADIUS bits or fewer. Within
-what it connects, the exact similarity of shingle sets decides, by an inverted index over
-the shingles of a chunk of texts, so that no pair is ever a row. Sets of more than CHUNK
-texts are dealt out as pairs of chunks.
+:mod:`riskweave.llm.simhash_trie` connects what differs in RADIUS bits or fewer. It misses
+texts that were cut or extended, so that a prefix filter (:func:`prefix_links`) connects
+every pair of the asked similarity besides. Within what they connect, the exact similarity
+of shingle sets decides, by an inverted index over the shingles of a chunk of texts, so
+that no pair is ever a row. Sets of more than CHUNK texts are dealt out as pairs of chunks.
 
 Defined results: texts with equal lower-cased words are copies, those without words
 included; a null text counts as empty; rows of equal doc_id and text are one document
@@ -16,13 +17,14 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import batches, connected_components, record_batch, text_bytes, texts, written
@@ -35,6 +37,8 @@ LONG = 4
 #: Texts, and their words, of a chunk; a task indexes the shingles of two chunks at a time.
 CHUNK = 1500
 CHUNK_WORDS = 500_000
+#: A similar pair has at least one shingle more in common, among those that are compared, for so many of its shingles.
+SPARE = 20
 
 PRINTS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("whole", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
 
@@ -69,6 +73,61 @@ def prints(docs: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, "doc_id long, mark long, whole long, fp long, size long")
 
 
+def shared_least(size: int) -> int:
+    """The common shingles that a pair has among the compared ones, if both texts have ``size`` or more."""
+    return 1 + size // SPARE
+
+
+def hashed_shingles(words: list[bytes], n: int) -> np.ndarray:
+    """The sorted distinct hashes of the n-word shingles, from one hash for each word."""
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    one = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    n = min(n, len(words))
+    out = np.full(len(words) - n + 1, n, dtype=np.uint64)
+    for k in range(n):
+        out = (out ^ one[k : len(one) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def prefix_links(docs: DataFrame, heads: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (a, b) of ``whole`` that connect every two texts of ``heads`` (whole, doc_id, mark) of the ``similarity``.
+
+    Of two similar texts the larger, of n shingles, has at least ceil(similarity * n) in
+    common with the other. In the order of the hashes, the first of those, shared_least of
+    them, lie among the first n - ceil(similarity * n) + shared_least(n) of either text: only
+    these prefixes are compared. Of the common ones the rarest has all others behind it when
+    a prefix goes by frequency, so that the most frequent ones of a prefix, one fewer than it
+    surely shares, can be left out. What passages are made of mostly goes that way. Texts that
+    share one of the rest are linked to the smallest text that has it.
+    """
+    schema = pa.schema([("whole", pa.int64()), ("spare", pa.int32()), ("keys", pa.list_(pa.int64()))])
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, raw in batches(found):
+            spare, keys = [], []
+            for b in raw:
+                all_ = hashed_shingles(b.lower().split(), words)
+                common = math.ceil(similarity * len(all_) - 1e-6)
+                spare.append(shared_least(common) - 1)
+                keys.append(all_[: len(all_) - common + shared_least(len(all_))].view(np.int64))
+            yield record_batch(schema, whole, spare, keys)
+
+    marked = text_bytes(docs).withColumn("mark", mark_of("text"))
+    heads = heads.select("whole", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    asked = marked.join(heads, marked["doc_id"].eqNullSafe(heads["_id"]) & (marked["mark"] == heads["_mark"])).select("whole", "text")
+    prefixes = written(asked.mapInArrow(run, "whole long, spare int, keys array<long>"), "copy-prefixes")
+    rows = prefixes.select("whole", "spare", F.explode("keys").alias("key"))
+    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # A text whose row is there twice has each of its shingles twice, at the same rank.
+    rank = F.dense_rank().over(Window.partitionBy("whole").orderBy(F.desc("n"), "key"))
+    left = rows.join(often, "key").withColumn("_rank", rank).filter("_rank > spare").select("key", "whole")
+    left = written(left, "copy-keys")
+    least = left.groupBy("key").agg(F.min("whole").alias("a"), F.max("whole").alias("_last")).filter("a < _last")
+    return left.join(least.select("key", "a"), "key").select("a", F.col("whole").alias("b")).filter("a < b").distinct()
+
+
 def with_sets(rows: DataFrame, words: int) -> DataFrame:
     """(whole, root, chunks, set) of rows (whole, root, chunks, text): the shingles' hashes for the text."""
     schema = pa.schema([("whole", pa.int64()), ("root", pa.int64()), ("chunks", pa.int32()), ("set", pa.binary())])
@@ -136,8 +195,14 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     least = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
     classes = table.groupBy("whole").agg(F.min(least).alias("head"), F.min("fp").alias("fp"), F.min("size").alias("size"))
     classes = written(classes.select("whole", "fp", "size", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")), "copy-classes")
-    proposed = connected_components(trie_links(classes.select("fp").distinct(), radius, turns))
-    rooted = classes.join(proposed.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # The links of the fingerprints, as links of the smallest texts that have them, and those of the prefixes.
+    of_print = classes.groupBy("fp").agg(F.min("whole").alias("one"))
+    near = trie_links(of_print.select("fp"), radius, turns)
+    near = near.join(of_print.select(F.col("fp").alias("a"), F.col("one").alias("_a")), "a")
+    near = near.join(of_print.select(F.col("fp").alias("b"), F.col("one").alias("_b")), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    near = near.union(classes.join(of_print, "fp").select(F.col("one").alias("a"), F.col("whole").alias("b")))
+    proposed = connected_components(near.union(prefix_links(docs, classes, words, similarity)))
+    rooted = classes.join(proposed.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
     sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).filter("n > 1")
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("words") / CHUNK_WORDS), F.lit(1)).cast("int")
     sizes = sizes.select("root", chunks.alias("chunks"))

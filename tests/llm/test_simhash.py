@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from riskweave.llm import simhash_trie as S
@@ -111,6 +112,50 @@ def test_near_copies_against_brute_force(spark):
     assert got == want
 
 
+def brute_groups(rows):
+    """The smallest doc_id of each row's group, by every pair's exact similarity."""
+    label = list(range(len(rows)))
+    near = [(i, j) for i, (_, a, _) in enumerate(rows) for j, (_, b, _) in enumerate(rows[:i]) if jaccard(a, b) >= 0.8]
+    for _ in rows:
+        before = list(label)
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+        if label == before:
+            break
+    return {d: min(rows[j][0] for j in range(len(rows)) if label[j] == label[i]) for i, (d, _, _) in enumerate(rows)}
+
+
+def cut_and_extended(rng, n, like):
+    """Texts of ``n`` words with copies at 5-word similarities just above and below 0.8, and a passage that others have too."""
+    rows = []
+    passage = prose(rng, n // 5)
+    for i in range(25):
+        base = f"{prose(rng, n)} {passage if i % 2 else ''}".split()
+        more = [f"more{rng.randrange(10**6)}" for _ in range(n)]
+        keep = round(like * (len(base) - 4)) + 4
+        grow = round((len(base) - 4) * (1 / like - 1))
+        middle = len(base) // 2
+        inside = base[:middle] + more[: max(1, grow - 4)] + base[middle:]
+        for words in (base, base[:keep], base[len(base) - keep :], base + more[:grow], inside):
+            rows.append((len(rows) * 7 + i % 3, " ".join(words), "a"))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("n, like", [(12, 0.82), (40, 0.81), (150, 0.81), (600, 0.805), (150, 0.79), (150, 0.9)])
+def test_cut_and_extended_copies_against_brute_force(spark, n, like):
+    rows = cut_and_extended(random.Random(n), n, like)
+    got = {r.doc_id: r.group_id for r in near_copies(frame(spark, rows)).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_prefixes_connect_every_similar_pair(spark):
+    # With no fingerprint within reach, the prefixes alone have to propose.
+    rows = cut_and_extended(random.Random(4), 60, 0.81)
+    got = {r.doc_id: r.group_id for r in near_copies(frame(spark, rows), radius=0, turns=1).collect()}
+    assert got == brute_groups(rows)
+
+
 def test_one_of_each(odd):
     kept = one_of_each(odd)
     assert kept.columns == odd.columns
