@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskweave.llm.common import documents
 from riskweave.llm.fingerprint_tables import document_fingerprints
+from riskweave.llm.grid_join import near_vectors
+from riskweave.llm.merkle import manifest
 from riskweave.llm.mixing import taken_words
 from riskweave.llm.piece_codec import encoded
 from riskweave.llm.repetition import quality_rules
 from riskweave.llm.secret_spans import secret_spans
 from riskweave.llm.simhash_trie import near_duplicates
+from riskweave.llm.spelling import spelling_groups
+from riskweave.llm.statements import COSINE_SQL, MERKLE_SQL, SPELLING_SQL
 from riskweave.llm.suffix_dedup import dedup_bytes
 from riskweave.llm.token_files import token_files
 from riskweave.llm.token_prefix import token_counts
@@ -62,6 +66,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_spelling_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(documents(spark, sf_dir))
+
+
+def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(documents(spark, sf_dir))
+
+
+def op13_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.95)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,6 +91,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity_network,
         op9_secret_spans,
         op10_token_files,
+        op11_spelling_index,
+        op12_merkle_climb,
+        op13_grid_order_join,
     )
 }
 
@@ -112,4 +131,9 @@ FROM line
 
 #: Other queries have no statement: the operators' hashes, encoders, suffix orders and
 #: trained weights have no SQL counterpart; tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {"op7_source_mix": MIX_SQL}
+ORACLES: dict[str, str] = {
+    "op7_source_mix": MIX_SQL,
+    "op11_spelling_index": SPELLING_SQL,
+    "op12_merkle_climb": MERKLE_SQL,
+    "op13_grid_order_join": COSINE_SQL,
+}
