@@ -1,13 +1,14 @@
-"""Near copies by word shingles: SimHash proposes, exact Jaccard similarity decides.
-
-A few changed words break five times as many 5-word shingles, so that fingerprints of
-shingles drift far apart at a similarity of 0.8, while fingerprints of the texts' longer
-words hardly move. Those propose: the binary trie join of
-:mod:`riskweave.llm.simhash_trie` connects what differs in RADIUS bits or fewer. It misses
-texts that were cut or extended, so that a prefix filter (:func:`prefix_links`) connects
-every pair of the asked similarity besides. Within what they connect, the exact similarity
-of shingle sets decides, by an inverted index over the shingles of a chunk of texts, so
-that no pair is ever a row. Sets of more than CHUNK texts are dealt out as pairs of chunks.
+"""Near copies by word shingles: SimHash and a prefix filter propose, exact Jaccard similarity decides.
+
+One pass over the texts makes, for each, the fingerprint of its distinct longer words and
+the first of the sorted hashes of its shingles, its prefix; texts of the same words are one
+class from then on. Classes are proposed in stars around a hub: the binary trie
+join of :mod:`riskweave.llm.simhash_trie` connects what differs in RADIUS bits or fewer,
+and all classes that have a prefix shingle in common are a star around the smallest of
+them, which covers every pair of the asked similarity (:func:`prefix_stars`). Within each
+star the exact similarity of shingle sets decides, by an inverted index over its texts, so
+that no pair is ever a row; every similar pair meets in some star. Stars of more than CHUNK
+texts are dealt out as pairs of chunks. Components are made once, of what has been verified.
 
 Defined results: texts with equal lower-cased words are copies, those without words
 included; a null text counts as empty; rows of equal doc_id and text are one document
@@ -28,10 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import batches, connected_components, record_batch, text_bytes, texts, written
-from riskweave.llm.simhash_trie import majority, shingles, trie_links
-from riskweave.session import cut_lineage
+from riskweave.llm.simhash_trie import majority, trie_links
 
-RADIUS, TURNS = 8, 3
+RADIUS, TURNS = 3, 2
 #: Words of fewer letters say nothing of a text unless it has no others.
 LONG = 4
 #: Texts, and their words, of a chunk; a task indexes the shingles of two chunks at a time.
@@ -40,7 +40,10 @@ CHUNK_WORDS = 500_000
 #: A similar pair has at least one shingle more in common, among those that are compared, for so many of its shingles.
 SPARE = 20
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("whole", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())])
+PRINTS = pa.schema(
+    [("doc_id", pa.int64()), ("mark", pa.int64()), ("whole", pa.int64()), ("fp", pa.int64()), ("size", pa.int64())]
+    + [("spare", pa.int32()), ("keys", pa.list_(pa.int64()))]
+)
 
 
 def mark_of(text: str) -> Column:
@@ -52,27 +55,6 @@ def _signed(x: int) -> int:
     return x - ((x >> 63) << 64)
 
 
-def prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, whole, fp, size) of each row: hashes of the text and of its words, the fingerprint of its distinct longer words, its words."""
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        for ids, raw, marks in batches(rows):
-            votes: list[int] = []
-            counts, wholes, sizes = [], [], []
-            for b in raw:
-                ws = b.lower().split()
-                long_ = {w for w in ws if len(w) >= LONG} or set(ws)
-                sizes.append(len(ws))
-                counts.append(len(long_))
-                votes += [digest(w, 42) for w in long_]
-                wholes.append(_signed(digest(b" ".join(ws))))
-            yield record_batch(PRINTS, ids, marks, wholes, majority(votes, counts), sizes)
-
-    marked = text_bytes(docs).withColumn("mark", mark_of("text"))
-    return marked.mapInArrow(run, "doc_id long, mark long, whole long, fp long, size long")
-
-
 def shared_least(size: int) -> int:
     """The common shingles that a pair has among the compared ones, if both texts have ``size`` or more."""
     return 1 + size // SPARE
@@ -91,54 +73,76 @@ def hashed_shingles(words: list[bytes], n: int) -> np.ndarray:
     return np.unique(out)
 
 
-def prefix_links(docs: DataFrame, heads: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) of ``whole`` that connect every two texts of ``heads`` (whole, doc_id, mark) of the ``similarity``.
+def prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, mark, whole, fp, size, spare, keys) of each row.
 
-    Of two similar texts the larger, of n shingles, has at least ceil(similarity * n) in
-    common with the other. In the order of the hashes, the first of those, shared_least of
-    them, lie among the first n - ceil(similarity * n) + shared_least(n) of either text: only
-    these prefixes are compared. Of the common ones the rarest has all others behind it when
-    a prefix goes by frequency, so that the most frequent ones of a prefix, one fewer than it
-    surely shares, can be left out. What passages are made of mostly goes that way. Texts that
-    share one of the rest are linked to the smallest text that has it.
+    Hashes of the text and of its words, the fingerprint of its distinct longer words, the
+    number of its words, and its prefix shingles ``keys``, of which ``spare`` can be left out.
     """
-    schema = pa.schema([("whole", pa.int64()), ("spare", pa.int32()), ("keys", pa.list_(pa.int64()))])
 
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, raw in batches(found):
-            spare, keys = [], []
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for ids, raw, marks in batches(rows):
+            votes: list[int] = []
+            counts, wholes, sizes, spare, keys = [], [], [], [], []
             for b in raw:
-                all_ = hashed_shingles(b.lower().split(), words)
+                ws = b.lower().split()
+                long_ = {w for w in ws if len(w) >= LONG} or set(ws)
+                sizes.append(len(ws))
+                counts.append(len(long_))
+                votes += [digest(w, 42) for w in long_]
+                wholes.append(_signed(digest(b" ".join(ws))))
+                all_ = hashed_shingles(ws, words)
                 common = math.ceil(similarity * len(all_) - 1e-6)
                 spare.append(shared_least(common) - 1)
                 keys.append(all_[: len(all_) - common + shared_least(len(all_))].view(np.int64))
-            yield record_batch(schema, whole, spare, keys)
+            yield record_batch(PRINTS, ids, marks, wholes, majority(votes, counts), sizes, spare, keys)
+
+    marked = text_bytes(docs).withColumn("mark", mark_of("text"))
+    return marked.mapInArrow(run, "doc_id long, mark long, whole long, fp long, size long, spare int, keys array<long>")
+
+
+def shingle_sets(docs: DataFrame, heads: DataFrame, words: int) -> DataFrame:
+    """(whole, set): the hashes of the shingles of the texts that ``heads`` (whole, head) name; no others travel."""
+    schema = pa.schema([("whole", pa.int64()), ("set", pa.binary())])
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, raw in batches(found):
+            yield record_batch(schema, whole, [hashed_shingles(b.lower().split(), words).tobytes() for b in raw])
 
     marked = text_bytes(docs).withColumn("mark", mark_of("text"))
-    heads = heads.select("whole", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    heads = heads.select("whole", F.col("head.doc_id").alias("_id"), F.col("head.mark").alias("_mark"))
     asked = marked.join(heads, marked["doc_id"].eqNullSafe(heads["_id"]) & (marked["mark"] == heads["_mark"])).select("whole", "text")
-    prefixes = written(asked.mapInArrow(run, "whole long, spare int, keys array<long>"), "copy-prefixes")
-    rows = prefixes.select("whole", "spare", F.explode("keys").alias("key"))
+    # Rows of equal doc_id and text come out alike.
+    return asked.mapInArrow(run, "whole long, set binary")
+
+
+def prefix_stars(classes: DataFrame) -> DataFrame:
+    """(hub, whole) that bring every two similar texts of ``classes`` (whole, spare, keys) together at some hub.
+
+    Of two similar texts the larger, of n shingles, has at least ceil(similarity * n) in
+    common with the other. In the order of the hashes, the first of those, shared_least of
+    them, lie among the first n - ceil(similarity * n) + shared_least(n) of either text: only
+    these prefixes are compared. Of the common ones the rarest has all others behind it when
+    a prefix goes by frequency, so that the most frequent ones of a prefix, one fewer than it
+    surely shares, can be left out. What passages are made of mostly goes that way. Texts that
+    share one of the rest meet at the smallest text that has it.
+    """
+    rows = classes.select("whole", "spare", F.explode("keys").alias("key"))
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # A text whose row is there twice has each of its shingles twice, at the same rank.
     rank = F.dense_rank().over(Window.partitionBy("whole").orderBy(F.desc("n"), "key"))
     left = rows.join(often, "key").withColumn("_rank", rank).filter("_rank > spare").select("key", "whole")
     left = written(left, "copy-keys")
-    least = left.groupBy("key").agg(F.min("whole").alias("a"), F.max("whole").alias("_last")).filter("a < _last")
-    return left.join(least.select("key", "a"), "key").select("a", F.col("whole").alias("b")).filter("a < b").distinct()
-
+    least = left.groupBy("key").agg(F.min("whole").alias("hub"), F.max("whole").alias("_last")).filter("hub < _last")
+    return left.join(least.select("key", "hub"), "key").select("hub", "whole").distinct()
 
-def with_sets(rows: DataFrame, words: int) -> DataFrame:
-    """(whole, root, chunks, set) of rows (whole, root, chunks, text): the shingles' hashes for the text."""
-    schema = pa.schema([("whole", pa.int64()), ("root", pa.int64()), ("chunks", pa.int32()), ("set", pa.binary())])
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        for whole, root, chunks, raw in batches(found):
-            sets = [np.unique(np.array([digest(s, 42) for s in shingles(b.lower().split(), words)], dtype=np.uint64)).tobytes() for b in raw]
-            yield record_batch(schema, whole, root, chunks, sets)
 
-    return rows.select("whole", "root", "chunks", "text").mapInArrow(run, "whole long, root long, chunks int, set binary")
+def print_stars(classes: DataFrame, radius: int, turns: int) -> DataFrame:
+    """(hub, whole) of ``classes`` (whole, fp) whose fingerprints the trie connects; the hub is a fingerprint."""
+    links = trie_links(classes.select("fp").distinct(), radius, turns)
+    hubs = links.select(F.col("b").alias("fp"), F.col("a").alias("hub"))
+    own = classes.select(F.col("fp").alias("hub"), "whole")
+    return own.union(classes.join(hubs, "fp").select("hub", "whole")).distinct()
 
 
 def similar(sets: list[np.ndarray], fresh: int, similarity: float) -> np.ndarray:
@@ -191,34 +195,28 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
 
     The group's names are those of its smallest doc_id; ``mark`` is :func:`mark_of` the text.
     """
-    table = written(prints(docs), "copies")
+    table = written(prints(docs, words, similarity), "copies")
     least = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
-    classes = table.groupBy("whole").agg(F.min(least).alias("head"), F.min("fp").alias("fp"), F.min("size").alias("size"))
-    classes = written(classes.select("whole", "fp", "size", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")), "copy-classes")
-    # The links of the fingerprints, as links of the smallest texts that have them, and those of the prefixes.
-    of_print = classes.groupBy("fp").agg(F.min("whole").alias("one"))
-    near = trie_links(of_print.select("fp"), radius, turns)
-    near = near.join(of_print.select(F.col("fp").alias("a"), F.col("one").alias("_a")), "a")
-    near = near.join(of_print.select(F.col("fp").alias("b"), F.col("one").alias("_b")), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    near = near.union(classes.join(of_print, "fp").select(F.col("one").alias("a"), F.col("whole").alias("b")))
-    proposed = connected_components(near.union(prefix_links(docs, classes, words, similarity)))
-    rooted = classes.join(proposed.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
-    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).filter("n > 1")
+    # All rows of a class agree in what comes from its words.
+    same = [F.first(c).alias(c) for c in ("fp", "size", "spare", "keys")]
+    classes = table.groupBy("whole").agg(F.min(least).alias("head"), *same)
+    classes = written(classes, "copy-classes")
+    stars = print_stars(classes.select("whole", "fp"), radius, turns).withColumn("by", F.lit(0))
+    stars = stars.union(prefix_stars(classes.select("whole", "spare", "keys")).withColumn("by", F.lit(1)))
+    stars = written(stars.join(classes.select("whole", "size"), "whole"), "copy-stars")
+    sizes = stars.groupBy("by", "hub").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).filter("n > 1")
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("words") / CHUNK_WORDS), F.lit(1)).cast("int")
-    sizes = sizes.select("root", chunks.alias("chunks"))
-    # Only texts that have a proposed partner are read again and travel.
-    asked = rooted.join(sizes, "root").select("whole", "root", "chunks", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    asked = cut_lineage(asked)
-    whole_texts = text_bytes(docs).withColumn("mark", mark_of("text"))
-    same = whole_texts["doc_id"].eqNullSafe(asked["_id"]) & (whole_texts["mark"] == asked["_mark"])
-    dealt = with_sets(whole_texts.join(asked, same), words)
+    # Only texts that have a proposed partner travel.
+    asked = stars.join(sizes.select("by", "hub", chunks.alias("chunks")), ["by", "hub"]).select("by", "hub", "whole", "chunks")
+    asked = written(asked, "copies-asked")
+    sets = shingle_sets(docs, classes.select("whole", "head").join(asked.select("whole").distinct(), "whole"), words)
     own = F.pmod(F.xxhash64("whole"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(own, c).alias("i"), F.greatest(own, c).alias("j")))
-    dealt = dealt.select("whole", "set", "root", own.alias("own"), F.explode(pairs).alias("c"))
-    dealt = dealt.select("whole", "set", "root", "own", "c.i", "c.j")
+    dealt = asked.select("by", "hub", "whole", own.alias("own"), F.explode(pairs).alias("c"))
+    dealt = dealt.join(sets, "whole").select("by", "hub", "whole", "own", "c.i", "c.j", "set")
 
     def run(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(group[1]), int(group[2])
+        i, j = int(group[2]), int(group[3])
         rows = rows.sort_values(["own", "whole"], kind="stable")
         fresh = int((rows["own"] == i).sum()) if i != j else 0
         label = similar([np.frombuffer(s, dtype=np.uint64) for s in rows["set"]], fresh, similarity)
@@ -226,10 +224,11 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
         at = np.nonzero(label != np.arange(len(label)))[0]
         return pd.DataFrame({"a": whole[label[at]], "b": whole[at]})
 
-    links = dealt.groupBy("root", "i", "j").applyInPandas(run, "a long, b long")
+    links = dealt.groupBy("by", "hub", "i", "j").applyInPandas(run, "a long, b long")
     roots = connected_components(links)
-    named = classes.join(roots.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
-    groups = named.groupBy("root").agg(F.min(least).alias("keep"))
+    named = classes.select("whole", "head").join(roots.withColumnRenamed("node", "whole"), "whole", "left")
+    named = named.withColumn("root", F.coalesce("root", "whole"))
+    groups = named.groupBy("root").agg(F.min("head").alias("keep"))
     found = named.join(groups, "root").select("whole", F.col("keep.doc_id").alias("group_id"), F.col("keep.mark").alias("group_mark"))
     return table.select("doc_id", "mark", "whole").distinct().join(found, "whole").select("doc_id", "mark", "group_id", "group_mark")
 
