@@ -8,7 +8,7 @@ as one long sequence. Files are written under a name of their own and then renam
 that a task that is run again replaces them whole.
 
 Defined results: null and empty texts have only the end id; repeated rows and null ids
-are kept, ordered by (doc_id, text), nulls first; an empty table writes a manifest of
+are kept, ordered by (doc_id, XXH64 of the text, text), nulls first; an empty table writes a manifest of
 no sets and reads as an empty result.
 """
 
@@ -18,7 +18,9 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,12 @@ from tokenizers import Tokenizer
 from riskweave.llm.common import batches, record_batch, texts
 from riskweave.session import cut_lineage, scratch_path
 
-#: Words whose ids a task keeps.
-WORDS = 600_000
+#: Words whose ids a worker keeps, in each of two halves.
+WORDS = 350_000
+#: Characters that may hold words apart.
+APART = "~^|§"
+#: Marks that often follow a word.
+MARKS = ".,;:!?)"
 #: Words that the library encodes together.
 GROUP = 256
 #: Bytes of text that one set of files holds, roughly.
@@ -50,37 +56,94 @@ class WordEncoder:
 
     Right where no token holds white space and the text is split there before the
     merges, as when the normaliser drops white space. New words go to the library
-    in groups, held apart by a special token of the vocabulary; a word that holds
-    a piece of that token's text goes alone.
+    in groups. Where tokens that end a word say so by a suffix, words of letters alone are
+    cut there; other groups are held apart by a character that is one token of its own
+    between spaces, and a word that holds that character goes alone. Where the normaliser
+    lower-cases, ASCII words are encoded once for all their cases; where a mark after
+    letters is a part of its own before the merges, letters with a mark are their ids and
+    the mark's.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
         self.library = Tokenizer.from_file(tokenizer_file)
         self.known: dict[str, bytes] = {}
-        special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not t.normalized]
-        self.apart, self.between = special[0] if special else (-1, "")
+        self.before: dict[str, bytes] = {}
+        self.between, self.apart = "", -1
+        for mark in APART:
+            ids = self._ids(f"a {mark} a")
+            if len(ids) == 3 and ids[0] == ids[2] != ids[1]:
+                self.between, self.apart = mark, ids[1]
+                break
+        self.folds = self._ids(" ".join(ascii_uppercase)) == self._ids(" ".join(ascii_lowercase))
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for token, i in self.library.get_vocab().items() if token.endswith(suffix)]] = True
+        self.marks = [m for m in MARKS if self.ends.any() and self._stands_alone(m)]
+
+    def _ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _stands_alone(self, mark: str) -> bool:
+        parts = self.library.pre_tokenizer.pre_tokenize_str(f"ab{mark}") if self.library.pre_tokenizer else []
+        return [span for _, span in parts] == [(0, 2), (2, 3)] and self._ids(f"ab{mark}") == self._ids("ab") + self._ids(mark)
+
+    def _groups(self, words: list[str], between: str, kind: np.dtype) -> dict[str, bytes]:
+        """The ids of the words, which go in groups; no ids of the words of a group that cannot be cut."""
+        found = {}
+        for first in range(0, len(words), GROUP):
+            group = words[first : first + GROUP]
+            ids = np.array(self._ids(between.join(group)), dtype=kind)
+            raw, size = ids.tobytes(), kind.itemsize
+            if between == " ":
+                cuts = (np.nonzero(self.ends[ids])[0] + 1).tolist()
+                spans = zip([0, *cuts], cuts)
+            else:
+                cuts = [*np.nonzero(ids == self.apart)[0].tolist(), len(ids)]
+                spans = zip([0, *(c + 1 for c in cuts)], cuts)
+            if len(cuts) == len(group):
+                found.update(zip(group, (raw[a * size : b * size] for a, b in spans)))
+        return found
 
     def learn(self, words: list[str], kind: np.dtype) -> None:
-        joined = [w for w in words if w and self.between and self.between[:2] not in w]
-        for first in range(0, len(joined), GROUP):
-            group = joined[first : first + GROUP]
-            ids = np.array(self.library.encode(self.between.join(group), add_special_tokens=False).ids, dtype=kind)
-            cuts = np.nonzero(ids == self.apart)[0].tolist()
-            self.known.update(zip(group, (ids[a:b].tobytes() for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))))
-        rest = list(set(words).difference(joined))
-        for word, found in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype=kind).tobytes()
-
-    def encode(self, found: list[str], kind: np.dtype) -> list[bytes]:
+        folded = [w.lower() if w.isascii() else w for w in words] if self.folds else words
+        new = dict.fromkeys(folded)
+        marked = {w: w[:-1] for w in new if w[-1:] in self.marks and w[:-1].isalpha()}
+        stems = [w for w in dict.fromkeys([*marked.values(), *new]) if w.isalpha()]
+        known, before = self.known, self.before
+        found = {w: known.get(w) or before.get(w) for w in stems if w in known or w in before}
+        if self.ends.any():
+            found |= self._groups([w for w in stems if w not in found], " ", kind)
+        for mark in self.marks:
+            tail = np.array(self._ids(mark), dtype=kind).tobytes()
+            found.update({w: found[stem] + tail for w, stem in marked.items() if w[-1] == mark and stem in found})
+        if self.between:
+            found |= self._groups([w for w in new if w and w not in found and self.between not in w], f" {self.between} ", kind)
+        rest = [w for w in new if w not in found]
+        for word, one in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
+            found[word] = np.array(one.ids, dtype=kind).tobytes()
+        known.update(zip(words, map(found.__getitem__, folded)))
+
+    def encode(self, texts_: list[str], kind: np.dtype) -> list[bytes]:
         """The ids of each text as bytes of ``kind``."""
-        split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in found]
+        split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in texts_]
         if len(self.known) >= WORDS:
-            self.known.clear()
-        self.learn(list(set().union(*split).difference(self.known)), kind)
+            # Words in use come back from the older half, so that only rare ones are learnt anew.
+            self.known, self.before = {}, self.known
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        self.learn(list(new.difference(again)), kind)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
+@lru_cache(maxsize=2)
+def word_encoder(tokenizer_file: str) -> WordEncoder:
+    """The encoder of this Python worker, which keeps what it has learnt for the next task."""
+    return WordEncoder(tokenizer_file)
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else os.path.abspath(uri))
 
@@ -95,8 +158,9 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, path: s
     size = rows.agg(F.sum(F.octet_length("text"))).scalar()
     total = rows.sparkSession.range(1).select(size.alias("n")).first()["n"] or 0
     parts = max(1, ceil(total / SET_BYTES))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Rows of equal doc_id are dealt and ordered by a hash of the text: whole texts are no sampling keys.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -104,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, path: s
         files.create_dir(root, recursive=True)
         stem = f"part-{part:06d}"
         own = f"{root}/.{stem}-{uuid.uuid4().hex}"
-        encoder = WordEncoder(tokenizer_file)
+        encoder = word_encoder(tokenizer_file)
         kind = width(max(encoder.library.get_vocab_size(), end_id + 1))
         last = np.array([end_id], dtype=kind).tobytes()
         n_docs = n_ids = 0
