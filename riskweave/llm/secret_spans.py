@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import batches, bounded_batches, record_batch, texts, written
 
 #: The base patterns and their least lengths.
-ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ASSIGN_LEAST = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_LEAST = 20
