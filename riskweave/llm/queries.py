@@ -11,7 +11,7 @@ from riskweave.llm.common import documents
 from riskweave.llm.fingerprint_tables import document_fingerprints
 from riskweave.llm.grid_join import near_vectors
 from riskweave.llm.merkle import manifest
-from riskweave.llm.mixing import taken_words
+from riskweave.llm.mixing import BLOCK, GOLDEN, ONE, taken_words
 from riskweave.llm.piece_codec import encoded
 from riskweave.llm.repetition import quality_rules
 from riskweave.llm.secret_spans import secret_spans
@@ -51,7 +51,7 @@ def op6_fingerprint_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken_words(documents(spark, sf_dir)).drop("first_slot")
+    return taken_words(documents(spark, sf_dir))
 
 
 def op8_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +98,9 @@ QUERIES: dict[str, Query] = {
 }
 
 #: The mix in closed form: every source takes the first words of its shuffled line, begun
-#: anew when it ends, up to its target. The schedule decides when, not how much.
-MIX_SQL = """
+#: anew when it ends, up to its target; the golden-ratio schedule says in which slot the
+#: first of a document's blocks comes.
+MIX_SQL = f"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, coalesce(text, '') AS text FROM documents
 ), sized AS (
@@ -120,13 +121,26 @@ WITH RECURSIVE docs AS (
 ), goals AS (
   SELECT source, source_size, least(weight * (SELECT max(rate) FROM rates), most) AS target FROM sources
 ), line AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS stop,
+  SELECT s.doc_id, s.source, s.size, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS stop,
     CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.spot, s.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS start
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+), numbered AS (
+  SELECT source, target, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no, CAST(ceil(target / {BLOCK}) AS BIGINT) AS slots FROM goals
+), units AS (
+  SELECT no, slots, CAST(ceil(target / (SELECT sum(target) FROM numbered) * {ONE}) AS BIGINT) AS units FROM numbered WHERE slots > 0
+), shares AS (
+  SELECT no, slots, CAST(sum(units) OVER (ORDER BY no) AS BIGINT) - units AS low, CAST(sum(units) OVER (ORDER BY no) AS BIGINT) AS high FROM units
+), points AS (
+  SELECT id AS slot, CAST(floor(((id + 1) * {GOLDEN} % {ONE}) * (CAST((SELECT max(high) FROM shares) AS DOUBLE) / {ONE})) AS BIGINT) AS spot
+  FROM range((SELECT CAST(8 * sum(slots) + 64 AS BIGINT) FROM shares)) r(id)
+), slots AS (
+  SELECT slot, no, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank FROM points JOIN shares ON spot >= low AND spot < high
+), sums AS (
+  SELECT l.*, greatest(0, least(start + size, stop) - start) + greatest(0, least(start + size + l.source_size, stop) - start - l.source_size) AS taken
+  FROM line l
 )
-SELECT doc_id, size, source_size, target,
-  greatest(0, least(start + size, stop) - start) + greatest(0, least(start + size + source_size, stop) - start - source_size) AS taken
-FROM line
+SELECT s.doc_id, s.size, s.source_size, s.target, s.taken, CASE WHEN s.taken > 0 THEN t.slot END AS first_slot
+FROM sums s JOIN numbered n ON s.source IS NOT DISTINCT FROM n.source LEFT JOIN slots t ON t.no = n.no AND t.rank = s.start // {BLOCK}
 """
 
 #: Other queries have no statement: the operators' hashes, encoders, suffix orders and
