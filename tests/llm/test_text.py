@@ -173,7 +173,7 @@ def test_base_spans(spark, none):
     from helpers import frame
 
     rng = random.Random(9)
-    bits = ["password", "Passwd", "API_KEY", "apikey", "secret", "TOKEN", "=", " : ", "'", '"', "abcdef", "0123456789abcdef" * 2, "AKIA", "ABCDEFGHIJKLMNOP", "é☃ ", "x.y-z/", "\n"]
+    bits = ["password", "Passwd", "API_KEY", "apikey", "secret", "TOKEN", "=", " : ", "'", '"', "abcdef", "0123456789abcdef" * 2, "AKIA", "ABCDEFGHIJKLMNOP", "é☃ ", "x.y-z/", "\n", "to\u212aen=", "\u017fecret:", "pa\u017fsword="]
     rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(15))), "a") for i in range(400)]
     got = {r.doc_id: r for r in secret_spans.secret_spans(frame(spark, rows)).collect()}
     for i, text, _ in rows:
@@ -242,3 +242,17 @@ def test_redacted(odd, none):
     assert rows[15].text == "[secret] and [secret] [secret]'" and rows[15].n_chars == len(rows[15].text)
     assert rows[5].text is None and rows[6].text == ""
     assert secret_spans.redacted(none).count() == 0
+
+
+def test_word_encoder_agrees_with_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS", 40)
+    monkeypatch.setattr(token_files, "GROUP", 5)
+    encoder = token_files.WordEncoder(WORD_FILE)
+    kind = token_files.width(encoder.library.get_vocab_size())
+    assert encoder.ends.any() and encoder.marks and encoder.folds
+    words = "Word word. don't don't. naïve, Ünïcode! a~b ~ ~~ x1. 12, ab,, <|endoftext|> ﬁne ǅ. İstanbul, 日本, é! e\u0301. ſ? K.".split()
+    rng = random.Random(5)
+    for _ in range(30):
+        found = [" ".join(rng.choice(words) + rng.choice(["", str(rng.randrange(99)), "zu"]) for _ in range(rng.randrange(30))) for _ in range(6)]
+        want = [np.array(e.ids, dtype=kind).tobytes() for e in encoder.library.encode_batch(found, add_special_tokens=False)]
+        assert encoder.encode(found, kind) == want
