@@ -79,7 +79,7 @@ class WordEncoder:
         self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
         if suffix:
             self.ends[[i for token, i in self.library.get_vocab().items() if token.endswith(suffix)]] = True
-        self.marks = [m for m in MARKS if self.ends.any() and self._stands_alone(m)]
+        self.marks = {m: self._ids(m) for m in MARKS if self.ends.any() and self._stands_alone(m)}
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -91,9 +91,10 @@ class WordEncoder:
     def _groups(self, words: list[str], between: str, kind: np.dtype) -> dict[str, bytes]:
         """The ids of the words, which go in groups; no ids of the words of a group that cannot be cut."""
         found = {}
-        for first in range(0, len(words), GROUP):
-            group = words[first : first + GROUP]
-            ids = np.array(self._ids(between.join(group)), dtype=kind)
+        groups = [words[first : first + GROUP] for first in range(0, len(words), GROUP)]
+        joined = self.library.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)
+        for group, whole in zip(groups, joined):
+            ids = np.array(whole.ids, dtype=kind)
             raw, size = ids.tobytes(), kind.itemsize
             if between == " ":
                 cuts = (np.nonzero(self.ends[ids])[0] + 1).tolist()
@@ -107,33 +108,40 @@ class WordEncoder:
 
     def learn(self, words: list[str], kind: np.dtype) -> None:
         folded = [w.lower() if w.isascii() else w for w in words] if self.folds else words
-        new = dict.fromkeys(folded)
-        marked = {w: w[:-1] for w in new if w[-1:] in self.marks and w[:-1].isalpha()}
-        stems = [w for w in dict.fromkeys([*marked.values(), *new]) if w.isalpha()]
-        known, before = self.known, self.before
-        found = {w: known.get(w) or before.get(w) for w in stems if w in known or w in before}
+        alpha, marked, other = [], [], []
+        for w in dict.fromkeys(folded):
+            if w.isalpha():
+                alpha.append(w)
+            elif w[-1:] in self.marks and w[:-1].isalpha():
+                alpha.append(w[:-1])
+                marked.append(w)
+            else:
+                other.append(w)
+        found = {}
         if self.ends.any():
+            stems = dict.fromkeys(alpha)
+            for held in (self.before, self.known):
+                found.update((w, held[w]) for w in stems.keys() & held.keys())
             found |= self._groups([w for w in stems if w not in found], " ", kind)
-        for mark in self.marks:
-            tail = np.array(self._ids(mark), dtype=kind).tobytes()
-            found.update({w: found[stem] + tail for w, stem in marked.items() if w[-1] == mark and stem in found})
+        tails = {m: np.array(ids, dtype=kind).tobytes() for m, ids in self.marks.items()}
+        found.update((w, found[w[:-1]] + tails[w[-1]]) for w in marked if w[:-1] in found)
         if self.between:
-            found |= self._groups([w for w in new if w and w not in found and self.between not in w], f" {self.between} ", kind)
-        rest = [w for w in new if w not in found]
+            found |= self._groups([w for w in other if w and self.between not in w], f" {self.between} ", kind)
+        rest = [w for w in dict.fromkeys(folded) if w not in found]
         for word, one in zip(rest, self.library.encode_batch(rest, add_special_tokens=False)):
             found[word] = np.array(one.ids, dtype=kind).tobytes()
-        known.update(zip(words, map(found.__getitem__, folded)))
+        self.known.update(zip(words, map(found.__getitem__, folded)))
 
     def encode(self, texts_: list[str], kind: np.dtype) -> list[bytes]:
         """The ids of each text as bytes of ``kind``."""
-        split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in texts_]
         if len(self.known) >= WORDS:
             # Words in use come back from the older half, so that only rare ones are learnt anew.
             self.known, self.before = {}, self.known
+        split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in texts_]
         new = set().union(*split).difference(self.known)
-        again = new.intersection(self.before)
-        self.known.update(zip(again, map(self.before.__getitem__, again)))
-        self.learn(list(new.difference(again)), kind)
+        again = new & self.before.keys()
+        self.known.update((w, self.before[w]) for w in again)
+        self.learn(list(new - again), kind)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -141,6 +149,7 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def word_encoder(tokenizer_file: str) -> WordEncoder:
     """The encoder of this Python worker, which keeps what it has learnt for the next task."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     return WordEncoder(tokenizer_file)
 
 
