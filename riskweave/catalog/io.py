@@ -13,7 +13,7 @@ from riskweave import rules
 from riskweave.catalog import register
 from riskweave.catalog.context import feed, graph, rows
 from riskweave.catalog.sql import query
-from riskweave.catalog.streams import _ALL_EVENTS, _LINES, _stream, json_lines
+from riskweave.catalog.streams import _ALL_EVENTS, _LINES, POSITIONS, _stream, json_lines
 from riskweave.fixtures import raw_feeds, table
 from riskweave.operators import events as E
 from riskweave.operators import relational as rel
@@ -200,20 +200,12 @@ def s13(spark, sf):
     return flagged.agg(F.count(F.lit(1)).alias("sampled"), F.count("k").alias("known"))
 
 
-_SLICED = f"SELECT type, ts, seq, source_rank, sub_seq FROM ({_ALL_EVENTS}) WHERE type IN ('order', 'login', 'risk_assessment')"
-
-
 @register(
     "S14_event_slice",
-    query(
-        f"SELECT type, ts, seq, sub_seq FROM (SELECT * FROM ({_SLICED}) ORDER BY ts, source_rank, seq, sub_seq LIMIT 10000 OFFSET 5000)"
-    ),
+    query(f"SELECT type, ts, seq, sub_seq, position FROM ({POSITIONS}) WHERE position BETWEEN 5000 AND 14999"),
 )
 def s14(spark, sf):
-    events = _stream(spark, sf).filter(F.col("type").isin("order", "login", "risk_assessment"))
-    return sinks.slice_events(events).select("type", "ts", "seq", "sub_seq")
-
-
+    return sinks.slice_events(_stream(spark, sf)).select("type", "ts", "seq", "sub_seq", "position")
 
 
 def _delivered(spark, sf) -> str:

@@ -126,10 +126,18 @@ _ALL_EVENTS = (
 )
 
 
-@register("E06_time_order", query(f"SELECT type, ts, source_rank, seq, sub_seq, id_value FROM ({_ALL_EVENTS})"))
+# Rows that agree in the order's columns agree in all columns that are shown.
+POSITIONS = (
+    "SELECT *, row_number() OVER (ORDER BY ts, source_rank, seq NULLS FIRST, sub_seq) - 1 AS position "
+    f"FROM ({_ALL_EVENTS})"
+)
+
+
+@register("E06_time_order", query(f"SELECT type, ts, source_rank, seq, sub_seq, id_value, position FROM ({POSITIONS})"))
 def e06(spark, sf):
-    ordered = E.in_total_order(_stream(spark, sf))
-    return ordered.select("type", "ts", "source_rank", "seq", "sub_seq", F.coalesce("id_value", F.lit("")).alias("id_value"))
+    ordered = E.in_positions(_stream(spark, sf))
+    shown = F.coalesce("id_value", F.lit("")).alias("id_value")
+    return ordered.select("type", "ts", "source_rank", "seq", "sub_seq", shown, "position")
 
 
 @register(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.clean import clean_columns
 from riskweave.functions.timeparse import month_text, parse_time
 from riskweave.operators.graph import union_all
+from riskweave.operators.ordinal import with_positions
 
 # Feeds in stream order with event type, time column and payload
 # (payload name -> feed column). The position is the tie-break rank.
@@ -251,6 +252,11 @@ def in_total_order(events: DataFrame) -> DataFrame:
     return events.orderBy(*TOTAL_ORDER)
 
 
+def in_positions(events: DataFrame) -> DataFrame:
+    """Events with ``position``, their place in time order from 0: one range sort and prefix sums, no sort in one task."""
+    return with_positions(events, TOTAL_ORDER)
+
+
 def events_per_month(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """Events per month, risk events included: one for each identifier of an order, labelled or not."""
     parts = [source_events(feeds).select("ts")]

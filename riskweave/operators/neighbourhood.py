@@ -3,9 +3,9 @@
 Walking out of a hub (an identifier shared by very many nodes) would repeat the
 hub's neighbours for every user linked to it. So hubs are never walked through.
 They are walked from, once each, and a user's distance through hubs is looked up:
-``min over hubs h of dist(user, h) + dist(h, node)``. Users with the same hub
-distances share one lookup, and nodes with the same hub distances are counted as
-one class. Counts stay exact; no (user, neighbour of hub) pair is ever built.
+``min over hubs h of dist(user, h) + dist(h, node)``. For counts the nodes are numbered
+and a hub's are bitmaps, which users merge. Counts stay exact; no (user, neighbour of
+hub) pair is ever built.
 """
 
 from __future__ import annotations
@@ -19,11 +19,14 @@ from riskweave import rules
 from riskweave.functions.weights import lookup
 from riskweave.operators.association import association_counts
 from riskweave.operators.graph import Graph, edge_ends
+from riskweave.operators.ordinal import with_positions
 from riskweave.operators.risk import neighbour_edges
 from riskweave.operators.skew import salted_lookup
-from riskweave.session import cut_lineage
+from riskweave.session import cut_lineage, written_table
 
 MIN_HUB_DEGREE = 1000
+#: Bytes of one bitmap: what the bitmap functions make, 32,768 nodes.
+BUCKET_BYTES = 4096
 
 
 def node_id(node_type: Column | str, key: Column | str) -> Column:
@@ -154,55 +157,68 @@ def _classes(rows: DataFrame, owner: str, distance: str) -> tuple[DataFrame, Dat
     return entries.select("class", "hub", distance), owners
 
 
+def numbered_nodes(anomalies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, number) and the byte ranges (bucket, skip, size, kind, label, assoc) that a class has in its bitmaps.
+
+    Nodes of one kind, type and association count have consecutive numbers from a whole byte
+    on, so that a count of a class is a count of the bits of some bytes.
+    """
+    facts = ["kind", "label", "assoc"]
+    placed = with_positions(anomalies.select("node", *facts), [*facts, "node"], "at")
+    classes = placed.groupBy(*facts).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    classes = with_positions(classes, ["first"], "ord")
+    # A byte is left free before each class, which is room enough to round up.
+    start = F.ceil(F.col("first") / 8) * 8 + F.col("ord") * 8
+    classes = written_table(classes.withColumn("start", start), "node-classes")
+    numbers = placed.join(classes.select(*facts, "first", "start"), facts)
+    low, high = F.col("start") / 8, F.ceil((F.col("start") + F.col("n")) / 8)
+    buckets = F.sequence(F.floor(low / BUCKET_BYTES), F.floor((high - 1) / BUCKET_BYTES))
+    ranges = classes.withColumns({"low": low.cast("long"), "high": high.cast("long"), "bucket": F.explode(buckets)})
+    skip = F.greatest(F.col("low") - F.col("bucket") * BUCKET_BYTES, F.lit(0))
+    ranges = ranges.withColumn("skip", skip.cast("int"))
+    size = F.least(F.col("high") - F.col("bucket") * BUCKET_BYTES, F.lit(BUCKET_BYTES)) - F.col("skip")
+    return (
+        numbers.select("node", (F.col("start") + F.col("at") - F.col("first")).alias("number")),
+        ranges.select("bucket", "skip", size.cast("int").alias("size"), *facts),
+    )
+
+
+def bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One bitmap per ``keys`` and bucket of the ``number`` of its rows; numbers of a task are combined before the shuffle."""
+    bits = BUCKET_BYTES * 8
+    placed = rows.select(*keys, F.expr(f"number div {bits}").alias("bucket"), (F.col("number") % bits).alias("bit"))
+    return placed.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("bit").alias("nodes"))
+
+
 def anomaly_counts(found: Reach, anomalies: DataFrame) -> DataFrame:
     """Per start: ``hop, kind, label, assoc, n`` over its anomalous nodes, exact.
 
-    ``n`` nodes of that kind, type and association count lie at that shortest hop.
+    ``n`` nodes of that kind, type and association count lie at that shortest hop. The nodes
+    that a hub reaches at a distance are bitmaps, made once for each hub. What a start has
+    within a number of hops is the union of its hubs' bitmaps and of that of its own walks;
+    what it has at a hop is that union less the one before, counted by the bytes of a class.
+    The start itself is at hop 0. Starts of the same hub distances share the hubs' part.
     """
     k = found.k
-    facts = ["kind", "label", "assoc"]
-    # Nodes that hubs reach, classed by their hub distances.
-    reached = found.hub_walks.join(anomalies, "node", "left_semi")
-    nears, node_near = _classes(reached.select("node", "hub", "b"), "node", "b")
-    node_near = node_near.withColumnRenamed("class", "near_id")
-    classes = node_near.join(anomalies, "node").groupBy("near_id", *facts).agg(F.count(F.lit(1)).alias("n"))
-    # Starts, classed the same way.
+    numbers, ranges = numbered_nodes(anomalies)
+    numbers = written_table(numbers, "node-numbers")
+    hub_nodes = written_table(bitmaps(found.hub_walks.join(numbers, "node"), ["hub", "b"]), "hub-bitmaps")
     shapes, start_far = _classes(found.start_hubs, "start", "a")
-    start_far = start_far.withColumnRenamed("class", "far_id")
-    far, near = shapes.withColumnRenamed("class", "far_id").alias("f"), nears.withColumnRenamed("class", "near_id").alias("n")
-    met = (
-        far.join(near, (F.col("f.hub") == F.col("n.hub")) & (F.col("a") + F.col("b") <= k))
-        .groupBy("far_id", "near_id")
-        .agg(F.min(F.col("a") + F.col("b")).alias("via"))
-    )
-    met = cut_lineage(met)
-    per_shape = met.join(classes, "near_id").groupBy("far_id", F.col("via").alias("hop"), *facts).agg(F.sum("n").alias("n"))
-    through_hubs = start_far.join(per_shape, "far_id").select("start", "hop", *facts, "n")
-
-    # Nodes a start also walks to directly: move them to the shorter distance.
-    walked = (
-        found.walks.join(anomalies, "node")
-        .join(start_far, "start", "left")
-        .join(node_near, "node", "left")
-        .join(met, ["far_id", "near_id"], "left")
-    )
-    d = F.col("d")
-    shorter = F.col("via").isNull() | (d < F.col("via"))
-    moves = F.array(
-        F.when(shorter & (d > 0), F.struct(d.alias("hop"), F.lit(1).cast("long").alias("n"))),
-        F.when(shorter, F.struct(F.col("via").alias("hop"), F.lit(-1).cast("long").alias("n"))),
-    )
-    moved = (
-        walked.select("start", *facts, F.inline(F.array_compact(moves)))
-        .filter(F.col("hop").isNotNull())
-        .select("start", "hop", *facts, "n")
-    )
+    met = shapes.withColumnRenamed("class", "far_id").join(hub_nodes, "hub").withColumn("hop", F.col("a") + F.col("b"))
+    per_shape = met.filter(F.col("hop") <= k).groupBy("far_id", "hop", "bucket").agg(F.bitmap_or_agg("nodes").alias("nodes"))
+    through = start_far.withColumnRenamed("class", "far_id").join(per_shape, "far_id").select("start", "hop", "bucket", "nodes")
+    own = bitmaps(found.walks.join(numbers, "node").withColumnRenamed("d", "hop"), ["start", "hop"])
+    both = through.unionByName(own.select("start", "hop", "bucket", "nodes"))
+    within = [F.expr(f"bitmap_or_agg(nodes) FILTER (WHERE hop <= {h})").alias(f"within_{h}") for h in range(k + 1)]
+    whole = both.groupBy("start", "bucket").agg(*within)
+    part = [F.bitmap_count(F.substring(F.col(f"within_{h}"), F.col("skip") + 1, F.col("size"))) for h in range(k + 1)]
+    at_hop = [F.struct(F.lit(h).alias("hop"), (part[h] - part[h - 1]).alias("n")) for h in range(1, k + 1)]
+    counted = whole.join(ranges, "bucket").select("start", "kind", "label", "assoc", F.inline(F.array(*at_hop)))
     return (
-        through_hubs.unionByName(moved)
-        .groupBy("start", "hop", *facts)
+        counted.filter("n > 0")
+        .groupBy("start", "hop", "kind", "label", "assoc")
         .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") != 0)
-        .select(F.substr("start", F.lit(len("uid|") + 1)).alias("uid"), "hop", *facts, "n")
+        .select(F.substr("start", F.lit(len("uid|") + 1)).alias("uid"), "hop", "kind", "label", "assoc", "n")
     )
 
 

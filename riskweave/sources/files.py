@@ -203,8 +203,19 @@ def validate_headers(headers: DataFrame) -> DataFrame:
 # -- event lines --------------------------------------------------------------
 
 
+def _below(spark: SparkSession, root: str) -> Column:
+    """``path`` relative to a root folder, so that equal names in two folders are two files; a root that is a file keeps its name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri()
+    place = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.element_at(F.split("path", "/"), -1)
+    for whole in {f"{uri.getPath().rstrip('/')}/", f"{uri.getRawPath().rstrip('/')}/"}:
+        below = F.when(F.startswith(place, F.lit(whole)), F.substr(place, F.lit(len(whole) + 1))).otherwise(below)
+    return below
+
+
 def numbered_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Text lines with file name and line number, blank lines left out but counted.
+    """Text lines with the file's path below ``path`` and line number, blank lines left out but counted.
 
     Lines number themselves inside their split; splits of a file add the lines of
     the splits before them, a table of one row per split.
@@ -214,7 +225,7 @@ def numbered_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     numbered = lines.join(starts, ["path", "block"]).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        _below(spark, path).alias("file"),
         (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"),
         "value",
     )
@@ -243,7 +254,7 @@ def parse_events(lines: DataFrame) -> DataFrame:
 
 
 def after_checkpoint(lines: DataFrame, file: str | None, line: int = 0) -> DataFrame:
-    """Lines after the last processed (file, line), files in name order."""
+    """Lines after the last processed (file, line), files in the order of their paths."""
     if file is None:
         return lines
     later = (F.col("file") > file) | ((F.col("file") == file) & (F.col("line") > line))

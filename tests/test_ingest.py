@@ -221,3 +221,53 @@ def test_resume_after_checkpoint(spark):
 def test_missing_replay_path(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         numbered_lines(spark, scratch_path(spark, "nowhere")).count()
+
+
+def test_a_batch_committed_while_compacting_counts_once(spark, monkeypatch):
+    store = GraphStore(spark, scratch_path(spark, "race"))
+    I.apply_batch(store, parse_events(lines(spark, LOGIN)), 0)
+    late = [ev("login", 20 + i, cif_user_id="U2", phone_num="P1", device_no="D1", remote_ip="1.1.1.1") for i in range(3)]
+    real = store._merged
+
+    def with_a_commit(*args):
+        I.apply_batch(GraphStore(spark, store.path), parse_events(lines(spark, late)), 1)
+        return real(*args)
+
+    monkeypatch.setattr(store, "_merged", with_a_commit)
+    store.compact()
+    monkeypatch.undo()
+    edge = store.read().edges.filter("src_key = 'u2' AND dst_key = 'd1'").collect()
+    assert [r.event_count for r in edge] == [3]
+    store.compact()
+    assert [r.event_count for r in store.read().edges.filter("src_key = 'u2' AND dst_key = 'd1'").collect()] == [3]
+
+
+def test_equal_file_names_in_two_folders(spark, tmp_path):
+    for folder in ("2024-01", "2024 02"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part-0.json").write_text("".join(f"line {i}\n" for i in range(10)))
+    found = numbered_lines(spark, str(tmp_path))
+    assert found.select("file", "line").distinct().count() == 20
+    first, second = sorted(r.file for r in found.select("file").distinct().collect())
+    assert after_checkpoint(found, first, 10).count() == 10 and after_checkpoint(found, second, 4).count() == 6
+    assert {r.file for r in numbered_lines(spark, str(tmp_path / "2024-01" / "part-0.json")).collect()} == {"part-0.json"}
+
+
+def test_equal_times_go_by_file_then_line(spark):
+    """The later file's first line comes after the earlier file's second line: the last value is its."""
+    same = lambda v: json.dumps({"type": "customer_update", "ts": T0 % 1, "data": {"baseid": "U1", "identity_no": v}})
+    rows = [("a", 1, same("A")), ("a", 2, same("B")), ("b", 1, same("C"))]
+    store = GraphStore(spark, scratch_path(spark, "files"))
+    I.apply_batch(store, parse_events(spark.createDataFrame(rows, "file string, line long, value string")), 0)
+    seq = [r.identity_no for r in store.customers().orderBy("seq").collect()]
+    assert seq == ["a", "b", "c"]
+
+
+def test_positions_are_the_total_order(spark):
+    from riskweave.operators.ordinal import with_positions
+
+    rows = [(i * 7919 % 1000 // 3, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    got = sorted((r.position, r.a, r.b) for r in with_positions(df, ["a", "b"]).collect())
+    assert got == [(p, a, b) for p, (a, b) in enumerate(sorted(rows))]
+    assert with_positions(df.limit(0), ["a"]).count() == 0
