@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from riskweave import rules
 from riskweave.catalog import register
 from riskweave.catalog.context import feed, graph, rows
-from riskweave.catalog.sql import CUT, device, key, query, quoted, txt
+from riskweave.catalog.sql import CUT, FEED_SQL, device, key, query, quoted, txt
 from riskweave.fixtures import raw_feeds, table
 from riskweave.functions import clean as C
 from riskweave.functions import timeparse as TP
 from riskweave.functions import weights as W
 from riskweave.operators import relational as rel
 from riskweave.operators.events import default_labels, event_stream
-from riskweave.operators.feeds import invalid_times, prepare, row_accounting
+from riskweave.operators.feeds import FEEDS, invalid_times, prepare, row_accounting, valid_rows
 from riskweave.operators.graph import blacklist_marks, duplicate_keys, union_all
 from riskweave.operators.legacy import ORDER_RENAMES
 from riskweave.sources.files import date_token, file_order
@@ -94,31 +94,70 @@ def p06(spark, sf):
     return feed(spark, sf, "login").select("seq", C.clean_device("device_no").alias("device_no"))
 
 
-_VALID = {
-    "customer_log": "c_customer_log",
-    "login": "c_login",
-    "lbs_gps": "c_lbs_gps",
-    "logout": "c_logout",
-    "order": "c_order",
-    "company_log": "c_company_log",
-    "repay_plan": "c_repay_plan",
-    "blacklist_log": "c_blacklist_log",
+# Feed -> the column whose absence drops a row, besides the time; and a number of its rows.
+_KEYS = {
+    "customer_log": "baseid",
+    "login": "cif_user_id",
+    "lbs_gps": "cid",
+    "first_linkman": "cid",
+    "second_linkman": "cid",
+    "first_linkman_derived": "cid",
+    "second_linkman_derived": "cid",
+    "logout": "cid",
+    "order": "id",
+    "repay_plan": "id",
+    "company_log": "cid",
+    "complaint": "c_id",
+    "consumer_protection_case": "c_id",
+    "blacklist_log": None,
+}
+_NUMBERS = {
+    "repay_plan": "CAST(substr(order_id, 2) AS BIGINT)",
+    "complaint": "CAST(c_id AS BIGINT)",
+    "consumer_protection_case": "CAST(c_id AS BIGINT)",
 }
 
 
-@register(
-    "P07_required_fields",
-    query(
-        " UNION ALL ".join(
-            f"SELECT '{d}' AS dataset, count(*) AS valid_rows FROM {b} WHERE ts IS NOT NULL" for d, b in _VALID.items()
-        )
-    ),
-)
+def _dirty(spark, sf, dataset: str) -> DataFrame:
+    """A feed some of whose rows lack the key or a readable time."""
+    number = F.expr(_NUMBERS.get(dataset, "seq"))
+    time_column, key_column = FEEDS[dataset].event_time, _KEYS[dataset]
+    values = {time_column: F.when(number % 17 == 5, "no date").otherwise(F.col(time_column).cast("string"))}
+    if key_column is not None:
+        values[key_column] = F.when(number % 13 == 3, " NaN ").otherwise(F.col(key_column).cast("string"))
+    return feed(spark, sf, dataset).withColumns(values)
+
+
+def _cut(dataset: str) -> str | None:
+    return rules.BLACKLIST_CUT if dataset == "blacklist_log" else None
+
+
+def _accounting(dataset: str) -> str:
+    number = _NUMBERS.get(dataset, "seq")
+    no_time = f"{number} % 17 = 5"
+    no_key = f"{number} % 13 = 3" if _KEYS[dataset] is not None else "false"
+    late = f"(d_begin_date >= {CUT} AND NOT ({no_time}))" if dataset == "blacklist_log" else "false"
+    return (
+        f"SELECT '{dataset}' AS dataset, count(*) AS total_rows, count(*) FILTER (WHERE NOT bad) AS written_rows, "
+        "count(*) FILTER (WHERE bad) AS skipped_rows, count(*) FILTER (WHERE no_key) AS skipped_key, "
+        "count(*) FILTER (WHERE no_time) AS skipped_time, count(*) FILTER (WHERE late) AS skipped_late FROM "
+        f"(SELECT {no_key} AS no_key, {no_time} AS no_time, {late} AS late, {no_key} OR {no_time} OR {late} AS bad "
+        f"FROM {FEED_SQL[dataset]})"
+    )
+
+
+_ACCOUNTING = " UNION ALL ".join(_accounting(d) for d in FEED_SQL)
+
+
+@register("P07_required_fields", query(f"SELECT dataset, written_rows AS valid_rows FROM ({_ACCOUNTING})"))
 def p07(spark, sf):
+    """Rows that have all that their feed requires, of all feeds with some dirty rows."""
     return union_all(
         [
-            rows(spark, sf, d).agg(F.count(F.lit(1)).alias("valid_rows")).select(F.lit(d).alias("dataset"), "valid_rows")
-            for d in _VALID
+            valid_rows(d, _dirty(spark, sf, d), _cut(d))
+            .agg(F.count(F.lit(1)).alias("valid_rows"))
+            .select(F.lit(d).alias("dataset"), "valid_rows")
+            for d in FEEDS
         ]
     )
 
@@ -185,26 +224,24 @@ def p11(spark, sf):
     return union_all([marks, *cases])
 
 
-@register(
-    "P12_row_accounting",
-    query(
-        "SELECT 'login' AS dataset, count(*) AS total_rows, count(*) AS written_rows, 0 AS skipped_rows, 0 AS skipped_late "
-        "FROM fx_login UNION ALL SELECT 'order', count(*), count(*), 0, 0 FROM fx_order UNION ALL "
-        f"SELECT 'blacklist_log', count(*), count(*) FILTER (WHERE d_begin_date < {CUT}), "
-        f"count(*) FILTER (WHERE d_begin_date >= {CUT}), count(*) FILTER (WHERE d_begin_date >= {CUT}) "
-        "FROM fx_blacklist_log"
-    ),
-)
+# The cleaned column that a feed's key column fills.
+_KEY_NAMES = {"order": "order_id", "repay_plan": "repay_plan_id", "complaint": "case_key", "consumer_protection_case": "case_key"}
+
+
+@register("P12_row_accounting", query(_ACCOUNTING))
 def p12(spark, sf):
-    plain = [
-        row_accounting(d, feed(spark, sf, d)).select(
-            "dataset", "total_rows", "written_rows", "skipped_rows", F.lit(0).cast("long").alias("skipped_late")
-        )
-        for d in ("login", "order")
-    ]
-    cut = row_accounting("blacklist_log", feed(spark, sf, "blacklist_log"), rules.BLACKLIST_CUT)
-    late = F.col("skipped_missing_time_before_cut").alias("skipped_late")
-    return union_all([*plain, cut.select("dataset", "total_rows", "written_rows", "skipped_rows", late)])
+    """Rows written and skipped, by reason, of all feeds with some dirty rows."""
+    none, parts = F.lit(0).cast("long"), []
+    for d in FEEDS:
+        counted = row_accounting(d, _dirty(spark, sf, d), _cut(d))
+        names = {
+            "skipped_key": f"skipped_missing_{_KEY_NAMES.get(d, 'uid')}",
+            "skipped_time": "skipped_missing_ts",
+            "skipped_late": "skipped_missing_time_before_cut",
+        }
+        reasons = [(F.col(c) if c in counted.columns else none).alias(n) for n, c in names.items()]
+        parts.append(counted.select("dataset", "total_rows", "written_rows", "skipped_rows", *reasons))
+    return union_all(parts)
 
 
 @register(

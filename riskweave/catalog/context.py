@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskweave import rules
 from riskweave.fixtures import raw_feeds
 from riskweave.operators.feeds import valid_rows
-from riskweave.operators.graph import Graph, build_graph
+from riskweave.operators.graph import Graph, build_edges, build_graph, clean_feeds, nodes_from
 from riskweave.session import scratch_path
 
 _GRAPHS: dict[tuple[str, str], str] = {}
@@ -33,13 +33,16 @@ def fresh_graph(spark: SparkSession, sf_dir: str) -> Graph:
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
-    """The graph as written tables, built once per application and input."""
+    """The graph as written tables, built once per application and input.
+
+    The nodes are made from the edges as written, so that feeds are aggregated to edges once.
+    """
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _GRAPHS:
         path = scratch_path(spark, "graph")
-        built = fresh_graph(spark, sf_dir)
-        built.edges.write.parquet(f"{path}/edges")
-        built.nodes.write.parquet(f"{path}/nodes")
+        cleaned = clean_feeds(raw_feeds(spark, sf_dir), rules.BLACKLIST_CUT)
+        build_edges(cleaned).write.parquet(f"{path}/edges")
+        nodes_from(spark.read.parquet(f"{path}/edges"), cleaned).write.parquet(f"{path}/nodes")
         _GRAPHS[known] = path
     path = _GRAPHS[known]
     return Graph(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"))

@@ -242,6 +242,30 @@ def j13(spark, sf):
     )
 
 
+@register(
+    "G16_stored_backfills",
+    query(
+        "SELECT n.node_type, n.key, coalesce(u.order_status, n.order_status) AS order_status, "
+        "CASE WHEN m.key IS NOT NULL THEN 'BLACKLISTED' ELSE n.status END AS status, n.reason_list, "
+        f"n.is_blacklisted OR m.key IS NOT NULL AS is_blacklisted FROM nodes n LEFT JOIN ({_ALL_MARKS}) m "
+        f"ON m.node_type = n.node_type AND m.key = n.key LEFT JOIN (SELECT * FROM ({_UPDATES}) WHERE order_status IS NOT NULL) u "
+        "ON n.node_type = 'order' AND u.id = n.key"
+    ),
+)
+def g16_stored(spark, sf):
+    """Both backfills between two batches of all feeds, then folded: the nodes of one rebuild, backfilled."""
+    store = GraphStore(spark, scratch_path(spark, "backfill-store"))
+    feeds = {d: rows(spark, sf, d) for d in raw_feeds(spark, sf)}
+    number = {d: F.pmod(F.coalesce("seq", F.xxhash64(*r.columns)), F.lit(2)) for d, r in feeds.items()}
+    store.append("feeds", 0, {d: r.filter(number[d] == 0) for d, r in feeds.items()})
+    for _ in range(2):
+        store.backfill("status", 0, "order", _status_updates(spark, sf), "2100-01-01 00:00:00")
+        store.backfill("listed", 0, "blacklist_log", _listed(spark, sf), "2100-01-01 00:00:00")
+    store.compact()
+    store.append("feeds", 1, {d: r.filter(number[d] == 1) for d, r in feeds.items()})
+    return store.read().nodes.select("node_type", "key", "order_status", "status", "reason_list", "is_blacklisted")
+
+
 @register("G17_nodes", query("SELECT * FROM nodes"))
 def g17_nodes(spark, sf):
     return fresh_graph(spark, sf).nodes

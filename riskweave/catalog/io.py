@@ -12,9 +12,10 @@ from pyspark.sql.types import StringType
 from riskweave import rules
 from riskweave.catalog import register
 from riskweave.catalog.context import feed, graph, rows
-from riskweave.catalog.sql import query
-from riskweave.catalog.streams import _ALL_EVENTS, _LINES, POSITIONS, _stream, json_lines
+from riskweave.catalog.sql import FEED_SQL, query, quoted
+from riskweave.catalog.streams import _ALL_EVENTS, _LINES, HANDLED, POSITIONS, _stream, json_lines
 from riskweave.fixtures import raw_feeds, table
+from riskweave.functions.timeparse import parse_text_time
 from riskweave.operators import events as E
 from riskweave.operators import relational as rel
 from riskweave.operators.feeds import FEEDS, valid_rows
@@ -109,14 +110,13 @@ def s05(spark, sf):
 @register(
     "S06_months",
     query(
-        "SELECT DISTINCT strftime(ts, '%Y-%m') AS ym FROM (SELECT login_time AS ts FROM fx_login UNION ALL "
-        "SELECT create_date FROM fx_order UNION ALL SELECT modify_date FROM fx_repay_plan)"
+        "SELECT DISTINCT strftime(ts, '%Y-%m') AS ym FROM ("
+        + " UNION ALL ".join(f"SELECT {FEEDS[d].event_time} AS ts FROM {source}" for d, source in FEED_SQL.items())
+        + ")"
     ),
 )
 def s06(spark, sf):
-    feeds = raw_feeds(spark, sf)
-    chosen = {d: feeds[d] for d in ("login", "order", "repay_plan")}
-    return sinks.months(chosen, {d: FEEDS[d].event_time for d in chosen})
+    return sinks.months(raw_feeds(spark, sf), {d: feed.event_time for d, feed in FEEDS.items()})
 
 
 @register(
@@ -140,25 +140,38 @@ def s08(spark, sf):
     path = scratch_path(spark, "lines")
     json_lines(spark, sf).select("value").write.text(path)
     parsed = files.parse_events(files.numbered_lines(spark, path))
-    state = F.when(F.col("corrupt").isNotNull(), "broken").when(F.col("type") == "surprise", "unknown").otherwise("good")
+    state = F.when(F.col("corrupt").isNotNull(), "broken").when(F.col("type") == "surprise", "unknown")
+    state = state.when(F.col("type").isin(*HANDLED), "good").otherwise("unsupported")
     return parsed.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# The last line that could be read before this time is the last one done.
+_DONE = "2024-01-15 12:00:00"
+_IN_FILES = (
+    "SELECT *, row_number() OVER (ORDER BY strftime(ts, '%Y-%m'), ts, source_rank, seq NULLS FIRST, sub_seq) AS place "
+    f"FROM ({_LINES})"
+)
+
+
 @register(
     "S09_resume",
     query(
-        f"SELECT count(*) AS total, count(*) - 25 AS remaining FROM ({_LINES}) WHERE state <> 'blank'"
+        "SELECT strftime(ts, '%Y-%m') AS ym, CASE state WHEN 'broken' THEN NULL WHEN 'unknown' THEN 'surprise' ELSE type END "
+        f"AS type, count(*) AS n FROM ({_IN_FILES}) WHERE state <> 'blank' AND place > (SELECT max(place) FROM ({_IN_FILES}) x "
+        f"WHERE x.state NOT IN ('broken', 'blank') AND x.ts < TIMESTAMP '{_DONE}') GROUP BY 1, 2"
     ),
 )
 def s09(spark, sf):
+    """All lines in a folder for each month; those after a checkpoint, a file and a line in it."""
     path = scratch_path(spark, "resume")
-    json_lines(spark, sf).select("value").filter(F.trim("value") != "").write.text(path)
-    lines = files.numbered_lines(spark, path)
-    first = lines.agg(F.min("file").alias("f")).scalar()
-    later = files.after_checkpoint(lines.withColumn("first", first).withColumn(
-        "file", F.when(F.col("file") == F.col("first"), "a").otherwise("b")), "a", 25)
-    total = lines.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return later.agg(F.count(F.lit(1)).alias("remaining")).select(total.alias("total"), "remaining")
+    order = ["ym", *E.TOTAL_ORDER]
+    lines = json_lines(spark, sf).repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select("ym", "value").write.partitionBy("ym").text(path)
+    read = files.parse_events(files.numbered_lines(spark, path))
+    before = parse_text_time("ts") < F.lit(_DONE).cast("timestamp_ntz")
+    done = read.filter(before).agg(F.max(F.struct("file", "line")).alias("p")).first().p
+    later = files.after_checkpoint(read, done.file, done.line)
+    return later.groupBy(F.regexp_extract("file", "ym=([0-9-]+)/", 1).alias("ym"), "type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("S11_result_lines", query("SELECT device_no, uid_count FROM device_users"))
@@ -208,33 +221,38 @@ def s14(spark, sf):
     return sinks.slice_events(_stream(spark, sf)).select("type", "ts", "seq", "sub_seq", "position")
 
 
+#: Columns that the delivered files lack.
+LACKING = {"order": ("id", "order_status"), "login": ("device_no",), "second_linkman_derived": ("cid",)}
+
+
 def _delivered(spark, sf) -> str:
-    """Every dataset as a CSV folder of nations: all columns, but for those that LACKING names."""
+    """Every feed as a CSV folder with untidy column names, without the columns that LACKING names."""
     path = scratch_path(spark, "delivered")
-    n = table(spark, sf, "nation")
-    for d, names in rules.REQUIRED_COLUMNS.items():
-        kept = [c for c in names if c not in LACKING.get(d, ())]
-        _write_csv(n.select(*[F.col("n_name").alias(c.upper() if i % 2 else f" {c}") for i, c in enumerate(kept)]), f"{path}/{d}")
+    for d, df in raw_feeds(spark, sf).items():
+        kept = [c for c in df.columns if c not in LACKING.get(d, ())]
+        _write_csv(df.select(*[F.col(c).alias(c.upper() if i % 2 else f" {c}") for i, c in enumerate(kept)]), f"{path}/{d}")
     return path
 
 
-#: Columns that the delivered files lack.
-LACKING = {"order": ("id", "order_status"), "login": ("device_no",), "second_linkman_derived": ("cid",)}
+def _header_sql(dataset: str) -> str:
+    """The columns of a feed's rows in the checking SQL, those lacking left out."""
+    columns = _CASE_COLUMNS if dataset in ("complaint", "consumer_protection_case") else "*"
+    lacking = f"[{quoted(LACKING[dataset])}]" if dataset in LACKING else "[]"
+    return (
+        f"SELECT '{dataset}' AS dataset, list_filter(json_keys(to_json(t)), lambda x: NOT list_contains({lacking}, x)) AS header "
+        f"FROM (SELECT {columns} FROM {FEED_SQL[dataset]}) t LIMIT 1"
+    )
 
 
-def _values(rows: list[str], names: str) -> str:
-    return f"SELECT t.* FROM (VALUES {', '.join(rows)}) t({names}) WHERE (SELECT count(*) FROM nation) > 0"
+_CASE_COLUMNS = "c_id, c_contact_phone_no, c_register_phone_no, c_identity_no, d_update"
+_HEADERS = " UNION ALL ".join(f"SELECT * FROM ({_header_sql(d)})" for d in FEED_SQL)
 
 
 @register(
     "S15_header_catalogue",
-    _values(
-        [
-            f"('{d}', {i}, '{c}')"
-            for d, names in rules.REQUIRED_COLUMNS.items()
-            for i, c in enumerate(c for c in names if c not in LACKING.get(d, ()))
-        ],
-        'dataset, pos, "column"',
+    query(
+        "SELECT dataset, pos, header[pos + 1] AS \"column\" FROM (SELECT dataset, header, unnest(range(len(header))) AS pos "
+        f"FROM ({_HEADERS}))"
     ),
 )
 def s15(spark, sf):
@@ -242,18 +260,28 @@ def s15(spark, sf):
     return headers.select("dataset", F.posexplode("header").alias("pos", "column"))
 
 
+_RULES = ", ".join(
+    f"('{d}', [{quoted(names)}], [{', '.join(f'[{quoted(g)}]' for g in rules.REQUIRED_ANY_OF.get(d, []))}] :: VARCHAR[][])"
+    for d, names in rules.REQUIRED_COLUMNS.items()
+)
+
+
 @register(
     "P13_header_rules",
-    _values(
-        [f"('{d}', {str(d not in LACKING).lower()}, '{','.join(LACKING.get(d, ()))}')" for d in rules.REQUIRED_COLUMNS],
-        "dataset, ok, missing",
+    query(
+        "SELECT dataset, missing = '' AND unmet = 0 AS ok, missing, unmet FROM (SELECT dataset, "
+        "array_to_string(list_filter(required, lambda x: NOT list_contains(header, x)), ',') AS missing, "
+        "len(list_filter(any_of, lambda g: NOT list_has_any(header, g))) AS unmet "
+        f"FROM ({_HEADERS}) JOIN (VALUES {_RULES}) r(dataset, required, any_of) USING (dataset))"
     ),
 )
 def p13(spark, sf):
     path = _delivered(spark, sf)
-    parts = [files.file_headers(spark, f"{path}/{d}").withColumn("dataset", F.lit(d)) for d in rules.REQUIRED_COLUMNS]
+    parts = [files.file_headers(spark, f"{path}/{d}").withColumn("dataset", F.lit(d)) for d in raw_feeds(spark, sf)]
     checked = files.validate_headers(reduce(DataFrame.unionByName, parts))
-    return checked.groupBy("dataset", "ok").agg(F.max(F.array_join("missing", ",")).alias("missing"))
+    return checked.select(
+        "dataset", "ok", F.array_join("missing", ",").alias("missing"), F.size("missing_any_of").alias("unmet")
+    ).distinct()
 
 
 @register(

@@ -17,6 +17,7 @@ from riskweave.operators import relational as rel
 from riskweave.operators import risk as R
 from riskweave.plans import jobs
 from riskweave.session import cut_lineage, scratch_path
+from riskweave.sources.sinks import write_report
 
 # A hub size that small inputs reach too.
 HUB_DEGREE = 300
@@ -377,3 +378,37 @@ def r12(spark, sf):
     out = evaluate.evaluate_scores(_scored(spark, sf), F.col("grp") == "blacklist")
     names = [c for c in out.columns if c.endswith(("mean", "std"))]
     return out.withColumns({"auc": F.round("auc", 9), **{c: F.round(c, 4) for c in names}})
+
+
+@register(
+    "R12_predictions",
+    query(
+        "SELECT uid, (grp = 'blacklist') :: INT AS true_label, round(score, 4) AS risk_score, "
+        "CASE grp WHEN 'blacklist' THEN 'blacklisted' ELSE 'normal' END AS status FROM scores"
+    ),
+)
+def r12_predictions(spark, sf):
+    return evaluate.predictions(_scored(spark, sf), F.col("grp") == "blacklist")
+
+
+_REPORT = " UNION ALL ".join(
+    [
+        "SELECT 'mean_by_hop' AS part, grp, hop, NULL AS kind, NULL AS label, NULL AS uid, round(avg(n), 6) AS value FROM hop_totals GROUP BY 2, 3",
+        "SELECT 'isolation', grp, NULL, NULL, NULL, NULL, round(count(*) FILTER (WHERE total <= 2) * 1.0 / count(*), 6) FROM uid_totals GROUP BY 2",
+        "SELECT 'types', m.grp, f.hop, f.kind, f.label, NULL, round(avg(n), 6) FROM members m JOIN "
+        "(SELECT uid, hop, kind, label, count(*) AS n FROM found GROUP BY ALL) f ON f.uid = m.uid GROUP BY 2, 3, 4, 5",
+        "SELECT 'members', grp, NULL, NULL, NULL, uid, total FROM uid_totals",
+    ]
+)
+
+
+@register("S12_group_report", query(_REPORT))
+def s12_group_report(spark, sf):
+    """The report on both groups, written and read again; one figure of each row."""
+    path = scratch_path(spark, "group-report")
+    write_report(nb.group_report(members(spark, sf), counts(spark, sf)), path)
+    schema = "grp string, hop int, kind string, label string, uid string, mean_nodes double, isolation_rate double, total double"
+    row = F.from_json("value", schema).alias("r")
+    back = spark.read.text(path).select(F.col("part").cast("string").alias("part"), row).select("part", "r.*")
+    figure = F.round(F.coalesce("mean_nodes", "isolation_rate", "total"), 6).alias("value")
+    return back.select("part", "grp", "hop", "kind", "label", "uid", figure)

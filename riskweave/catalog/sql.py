@@ -380,6 +380,24 @@ BLOCKS: dict[str, str] = {
     ),
 }
 
+#: Feed -> where its rows come from.
+FEED_SQL = {
+    "customer_log": "fx_customer_log",
+    "login": "fx_login",
+    "lbs_gps": "fx_lbs_gps",
+    "first_linkman": "fx_linkman",
+    "second_linkman": "fx_second_linkman",
+    "first_linkman_derived": "fx_linkman_derived",
+    "second_linkman_derived": "fx_second_linkman_derived",
+    "logout": "fx_logout",
+    "order": "fx_order",
+    "repay_plan": "fx_repay_plan",
+    "company_log": "fx_company_log",
+    "complaint": "(SELECT * FROM fx_cases WHERE source = 'complaint')",
+    "consumer_protection_case": "(SELECT * FROM fx_cases WHERE source = 'consumer')",
+    "blacklist_log": "fx_blacklist_log",
+}
+
 _HEAVY = {"edge_rows", "edges", "nodes", "sides", "weights", "r0", "r1", "dist", "found", "hop1", "hop2", "pairs", "bucket_links"}
 
 

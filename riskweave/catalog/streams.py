@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.catalog import register
 from riskweave.catalog.cleaning import _TYPE_COUNTS
 from riskweave.catalog.context import feed, graph, rows
-from riskweave.catalog.sql import query
+from riskweave.catalog.sql import BLOCKS, query, quoted
 from riskweave.fixtures import raw_feeds
 from riskweave.functions.timeparse import iso_text
 from riskweave.operators import events as E
 from riskweave.operators.association import windowed_links
+from riskweave.operators.events import REQUIRED_FIELDS
 from riskweave.session import scratch_path
-from riskweave.sources.files import numbered_lines, parse_events
+from riskweave.sources.files import blank_lines, numbered_lines, parse_events
 from riskweave.sources.store import GraphStore
 from riskweave.streaming import ingest as I
 
@@ -151,48 +154,54 @@ def e07(spark, sf):
 # -- ingest -------------------------------------------------------------------
 
 
+HANDLED = tuple(REQUIRED_FIELDS)
+
+
 def json_lines(spark, sf) -> DataFrame:
-    """Events of the handled types as JSON lines, with a broken, a blank and an
-    unknown-type line for some rows."""
-    feeds = {d: f for d, f in raw_feeds(spark, sf).items() if d in {v[0] for v in I.EVENT_FEEDS.values()}}
-    events = E.source_events(feeds).filter(F.col("seq").isNotNull())
-    kind = F.when(F.col("seq") % 50 == 7, F.lit("surprise")).otherwise(F.col("type"))
-    event = F.to_json(F.struct(kind.alias("type"), iso_text("ts").alias("ts"), "data"))
+    """All events as JSON lines, with a broken, a blank and an unknown-type line for some rows."""
+    events = _stream(spark, sf)
     n = F.col("seq") % 40
+    kind = F.when(F.col("seq") % 50 == 7, F.lit("surprise")).otherwise(F.col("type"))
+    event = F.to_json(F.struct(kind.alias("type"), iso_text("ts").alias("ts"), "data", "id_type", "id_value", "labels"))
     line = F.when(n == 3, F.lit("{broken")).when(n == 5, F.lit("  ")).otherwise(event)
-    return events.select("seq", "type", line.alias("value"))
+    return events.select("type", "ym", *E.TOTAL_ORDER, line.alias("value"))
 
 
 _LINES = (
-    "SELECT seq, CASE WHEN seq % 40 = 3 THEN 'broken' WHEN seq % 40 = 5 THEN 'blank' WHEN seq % 50 = 7 THEN 'unknown' "
-    "ELSE 'good' END AS state FROM (SELECT seq FROM fx_customer_log UNION ALL SELECT seq FROM fx_login UNION ALL "
-    "SELECT seq FROM fx_lbs_gps UNION ALL SELECT seq FROM fx_linkman UNION ALL SELECT seq FROM fx_logout UNION ALL SELECT seq FROM fx_order)"
+    "SELECT type, ts, source_rank, seq, sub_seq, id_value, CASE WHEN seq % 40 = 3 THEN 'broken' WHEN seq % 40 = 5 THEN 'blank' "
+    f"WHEN seq % 50 = 7 THEN 'unknown' WHEN type IN ({quoted(HANDLED)}) THEN 'good' ELSE 'unsupported' END AS state "
+    f"FROM ({_ALL_EVENTS})"
 )
 
 
 @register(
     "A16_ingest_counters",
     query(
-        "SELECT count(*) AS total_lines, count(*) FILTER (WHERE state = 'good') AS success, "
-        "count(*) FILTER (WHERE state = 'broken') AS json_errors, count(*) FILTER (WHERE state = 'unknown') AS event_errors "
-        f"FROM ({_LINES}) WHERE state <> 'blank'"
+        "SELECT count(*) FILTER (WHERE state <> 'blank') AS total_lines, count(*) FILTER (WHERE state = 'good') AS success, "
+        "count(*) FILTER (WHERE state = 'broken') AS json_errors, "
+        "count(*) FILTER (WHERE state IN ('unknown', 'unsupported')) AS event_errors, "
+        f"count(*) FILTER (WHERE state = 'blank') AS skipped_empty FROM ({_LINES})"
     ),
 )
 def a16(spark, sf):
     path = scratch_path(spark, "lines")
     json_lines(spark, sf).select("value").write.text(path)
-    return I.ingest_counters(I.checked_events(parse_events(numbered_lines(spark, path))))
+    return I.ingest_counters(I.checked_events(parse_events(numbered_lines(spark, path))), blank_lines(spark, path))
+
+
+# An event type that the ingest does not handle would be the first error of all.
+_KNOWN = f"SELECT * FROM ({_LINES}) WHERE state <> 'blank' AND type IN ({quoted(HANDLED)})"
 
 
 @register(
     "W04_until_first_error",
     query(
-        f"SELECT count(*) AS kept, max(seq) AS last FROM ({_LINES}) l WHERE state <> 'blank' AND seq <= "
-        f"(SELECT min(seq) FROM ({_LINES}) x WHERE x.state IN ('broken', 'unknown'))"
+        f"SELECT count(*) AS kept, max(seq) AS last FROM ({_KNOWN}) l WHERE seq <= "
+        f"(SELECT min(seq) FROM ({_KNOWN}) x WHERE x.state IN ('broken', 'unknown'))"
     ),
 )
 def w04(spark, sf):
-    kept = I.until_first_error(_checked(spark, sf), F.col("seq"))
+    kept = I.until_first_error(_checked(spark, sf).filter(F.col("kind").isin(*HANDLED)), F.col("seq"))
     return kept.agg(F.count(F.lit(1)).alias("kept"), F.max("seq").alias("last"))
 
 
@@ -204,19 +213,19 @@ def _checked(spark, sf) -> DataFrame:
     known = (spark.sparkContext.applicationId, sf)
     if known not in _CHECKED:
         path = scratch_path(spark, "checked")
-        lines = json_lines(spark, sf).filter(F.trim("value") != "").drop("type")
+        lines = json_lines(spark, sf).filter(F.trim("value") != "").select(F.col("type").alias("kind"), "seq", "value")
         I.checked_events(parse_events(lines)).write.parquet(path)
         _CHECKED[known] = path
     return spark.read.parquet(_CHECKED[known])
 
 
+_DATASET = "CASE type " + " ".join(f"WHEN '{t}' THEN '{d}'" for t, (d, *_) in I.EVENT_FEEDS.items()) + " END"
+
+
 @register(
     "ST2_dispatch",
     query(
-        "SELECT dataset, count(*) AS applied FROM (SELECT 'customer_log' AS dataset, seq FROM fx_customer_log UNION ALL "
-        "SELECT 'login', seq FROM fx_login UNION ALL SELECT 'lbs_gps', seq FROM fx_lbs_gps UNION ALL "
-        "SELECT 'first_linkman', seq FROM fx_linkman UNION ALL SELECT 'logout', seq FROM fx_logout UNION ALL "
-        "SELECT 'order', seq FROM fx_order) WHERE seq % 40 NOT IN (3, 5) AND seq % 50 <> 7 GROUP BY 1"
+        f"SELECT {_DATASET} AS dataset, count(*) AS applied FROM ({_LINES}) WHERE state = 'good' AND type <> 'risk_assessment' GROUP BY 1"
     ),
 )
 def st2(spark, sf):
@@ -224,53 +233,112 @@ def st2(spark, sf):
     return E.union_all([r.agg(F.count(F.lit(1)).alias("applied")).select(F.lit(d).alias("dataset"), "applied") for d, r in applied.items()])
 
 
-_GOOD = "seq % 40 NOT IN (3, 5) AND seq % 50 <> 7"
+_GOOD = "coalesce(seq % 40 NOT IN (3, 5) AND seq % 50 <> 7, true)"
+
+
+def _good(block: str) -> str:
+    return f"(SELECT * FROM {block} WHERE {_GOOD})"
+
+
+_CHANGED = BLOCKS["changes"].replace("FROM c_customer_log", f"FROM {_good('c_customer_log')}")
+
+
+def _set(*columns: str) -> str:
+    return " + ".join(f"({c} IS NOT NULL) :: INT" for c in columns)
+
+
+# Columns of the results after event_type, seq and uid; each kind has some of them.
+_RESULT_COLUMNS = {
+    "deduplicated": "BOOLEAN",
+    "identity_changed": "BOOLEAN",
+    "phone_changed": "BOOLEAN",
+    "merged_targets": "INT",
+    "linked_fields": "INT",
+    "card_phone_links": "INT",
+    "identity_updated": "BOOLEAN",
+    "phone_updated": "BOOLEAN",
+    "id_type": "VARCHAR",
+    "id_value": "VARCHAR",
+    "updated": "BOOLEAN",
+    "message": "VARCHAR",
+}
+
+
+def _result(kind: str, source: str, uid: str = "uid", **given: str) -> str:
+    columns = ", ".join(f"{given.get(c, 'NULL')} :: {t} AS {c}" for c, t in _RESULT_COLUMNS.items())
+    return f"SELECT '{kind}' AS event_type, seq, {uid} :: VARCHAR AS uid, {columns} FROM {source}"
+
+
+_RESULTS = " UNION ALL ".join(
+    [
+        _result(
+            "customer_update",
+            f"({_CHANGED})",
+            deduplicated="(NOT identity_changed AND NOT phone_changed)",
+            identity_changed="identity_changed",
+            phone_changed="phone_changed",
+        ),
+        _result("login", _good("c_login"), merged_targets=f"({_set('phone_num', 'device_no', 'td_device_id', 'remote_ip')})"),
+        _result("gps", _good("c_lbs_gps")),
+        _result("contact_edit", _good("c_contacts")),
+        _result(
+            "order",
+            _good("c_order"),
+            linked_fields=f"({_set('apply_loan_tel', 'apply_ident_no', 'apply_card_no', 'repay_card_no')})",
+            card_phone_links="((apply_card_no IS NOT NULL AND apply_bank_mobile IS NOT NULL) :: INT + "
+            "(repay_card_no IS NOT NULL AND repay_bank_mobile IS NOT NULL) :: INT)",
+        ),
+        _result("logout", _good("c_logout"), identity_updated="(identity_no IS NOT NULL)", phone_updated="(phone_num IS NOT NULL)"),
+        _result(
+            "risk_assessment",
+            f"(SELECT o.seq, i.id_type AS t, i.id_value AS v FROM {_good('fx_order')} o JOIN ({_IDS}) i ON i.order_id = o.id)",
+            uid="NULL",
+            id_type="t",
+            id_value="v",
+            updated="false",
+            message=f"'{I.RISK_MESSAGE}'",
+        ),
+    ]
+)
 
 
-@register(
-    "ST3_event_results",
-    query(
-        "SELECT 'login' AS event_type, seq, uid, (phone_num IS NOT NULL) :: INT + (device_no IS NOT NULL) :: INT + "
-        "(td_device_id IS NOT NULL) :: INT + (remote_ip IS NOT NULL) :: INT AS merged_targets, NULL :: INT AS linked_fields, "
-        f"NULL :: INT AS card_phone_links FROM c_login WHERE {_GOOD} UNION ALL "
-        "SELECT 'order', seq, uid, NULL, (apply_loan_tel IS NOT NULL) :: INT + (apply_ident_no IS NOT NULL) :: INT + "
-        "(apply_card_no IS NOT NULL) :: INT + (repay_card_no IS NOT NULL) :: INT, "
-        "(apply_card_no IS NOT NULL AND apply_bank_mobile IS NOT NULL) :: INT + "
-        f"(repay_card_no IS NOT NULL AND repay_bank_mobile IS NOT NULL) :: INT FROM c_order WHERE {_GOOD}"
-    ),
-)
+@register("ST3_event_results", query(_RESULTS))
 def st3(spark, sf):
-    applied = I.feed_rows(I.accepted(_checked(spark, sf)), F.col("seq"))
-    out = I.event_results({d: applied[d] for d in ("login", "order")})
-    return out.select("event_type", "seq", "uid", "merged_targets", "linked_fields", "card_phone_links")
+    good = I.accepted(_checked(spark, sf))
+    out = I.event_results(I.feed_rows(good, F.col("seq")), risk=good.filter(F.col("type") == "risk_assessment"))
+    return out.select("event_type", "seq", "uid", *_RESULT_COLUMNS)
 
 
 @register(
     "ST4_error_rows",
     query(
-        "SELECT CASE state WHEN 'broken' THEN 'Invalid JSON' ELSE 'Unsupported event type: surprise' END AS error, "
-        f"count(*) AS n FROM ({_LINES}) WHERE state IN ('broken', 'unknown') GROUP BY 1"
+        "SELECT CASE state WHEN 'broken' THEN 'Invalid JSON' WHEN 'unknown' THEN 'Unsupported event type: surprise' "
+        "ELSE 'Unsupported event type: ' || type END AS error, "
+        f"count(*) AS n FROM ({_LINES}) WHERE state NOT IN ('blank', 'good') GROUP BY 1"
     ),
 )
 def st4(spark, sf):
     return I.rejected(_checked(spark, sf)).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+_FIRST = "seq % 2 = 1"
+
+
 @register(
     "ST5_change_results",
     query(
-        f"SELECT seq, uid, identity_no IS DISTINCT FROM lag(identity_no) OVER w AS identity_changed, "
-        "phone_num IS DISTINCT FROM lag(phone_num) OVER w AS phone_changed FROM "
-        f"(SELECT * FROM c_customer_log WHERE {_GOOD}) WINDOW w AS (PARTITION BY uid ORDER BY ts, seq)"
+        f"SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED.replace(_GOOD, _GOOD + ' AND ' + _FIRST)}) "
+        f"UNION ALL SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED}) WHERE NOT ({_FIRST})"
     ),
 )
 def st5(spark, sf):
-    mine = I.feed_rows(I.accepted(_checked(spark, sf)), F.col("seq"))["customer_log"]
-    half = mine.filter(F.col("seq") % 2 == 0)
-    # The other half arrives later and is compared with all rows known by then.
-    late = I.event_results({"customer_log": mine.filter(F.col("seq") % 2 == 1)}, half)
-    early = I.event_results({"customer_log": half}, mine.filter(F.col("seq") % 2 == 1))
-    return late.unionByName(early).select("seq", "uid", "identity_changed", "phone_changed")
+    """Customer changes as two batches report them, each compared with the rows known by then; both are delivered twice."""
+    store = GraphStore(spark, scratch_path(spark, "result-store"))
+    events = _checked(spark, sf).filter(F.col("kind") == "customer_update").withColumn("line", F.col("seq"))
+    for batch, part in enumerate((events.filter(_FIRST), events.filter(f"NOT ({_FIRST})"))):
+        for _ in range(2):
+            I.apply_batch(store, part.drop("seq", "kind", "error"), batch, results=True)
+    return store.results().select("seq", "uid", "identity_changed", "phone_changed")
 
 
 @register(
@@ -285,49 +353,49 @@ def g09(spark, sf):
     return kept.groupBy("id_type", "id_value").agg(F.count(F.lit(1)).alias("n"))
 
 
-_STREAMED = (
-    "SELECT rel, src_key, dst_key, min(ts) AS first_seen_ts, max(ts) AS last_seen_ts, count(*) AS event_count FROM ("
-    "SELECT 'LOGIN_WITH_IP' AS rel, uid AS src_key, remote_ip AS dst_key, ts FROM c_login WHERE %(g)s UNION ALL "
-    "SELECT 'LOGIN_WITH_DEVICE', uid, device_no, ts FROM c_login WHERE device_no IS NOT NULL AND %(g)s UNION ALL "
-    "SELECT 'LOCATED_AT', uid, geo_code, ts FROM c_lbs_gps WHERE %(g)s UNION ALL "
-    "SELECT 'ORDER_APPLY_CARD', order_id, apply_card_no, ts FROM c_order WHERE %(g)s UNION ALL "
-    "SELECT 'HAS_PHONE', uid, phone_num, ts FROM (SELECT *, phone_num IS DISTINCT FROM lag(phone_num) OVER "
-    "(PARTITION BY uid ORDER BY ts, seq) AS changed FROM c_customer_log WHERE %(g)s) WHERE changed AND phone_num IS NOT NULL"
-    ") GROUP BY 1, 2, 3"
-) % {"g": _GOOD}
+def _streamed_rows() -> str:
+    """Edge rows of the accepted lines: those blocks of the graph's edge rows whose feeds have handled events."""
+    out = []
+    for part in BLOCKS["edge_rows"].split(" UNION ALL "):
+        block = re.search(r"FROM (\w+)", part).group(1)
+        if block == "changes":
+            out.append(part.replace("FROM changes", f"FROM ({_CHANGED})"))
+        elif block in ("c_login", "c_lbs_gps", "c_contacts", "c_order"):
+            out.append(part.replace(f"FROM {block}", f"FROM {_good(block)}"))
+    return " UNION ALL ".join(out)
+
 
+_EDGE_COLUMNS = "src_type, src_key, rel, dst_type, dst_key"
 
-@register("ST1_stream_ingest", query(_STREAMED))
+
+@register(
+    "ST1_stream_ingest",
+    query(
+        f"SELECT {_EDGE_COLUMNS}, min(ts) AS first_seen_ts, max(ts) AS last_seen_ts, count(*) AS event_count "
+        f"FROM ({_streamed_rows()}) GROUP BY ALL"
+    ),
+)
 def st1(spark, sf):
-    """Event files read as a stream into the stored graph, some files per batch."""
+    """Files of all events read as a stream into the stored graph, some files per batch."""
     path, store_path, checkpoint = (scratch_path(spark, n) for n in ("events-in", "stream-store", "stream-ck"))
     json_lines(spark, sf).select("value").write.text(path)
     store = GraphStore(spark, store_path)
     I.start_ingest(I.read_event_stream(spark, path, max_files=4), store, checkpoint).awaitTermination()
-    edges = store.read().edges
-    rels = ("LOGIN_WITH_IP", "LOGIN_WITH_DEVICE", "LOCATED_AT", "ORDER_APPLY_CARD", "HAS_PHONE")
-    return edges.filter(F.col("rel").isin(*rels)).select(
-        "rel", "src_key", "dst_key", "first_seen_ts", "last_seen_ts", "event_count"
-    )
+    return store.read().edges
 
 
 def _late_and_repeated(spark, sf) -> DataFrame:
-    """Later rows first, then the earlier ones; every batch delivered twice."""
+    """All feeds, later rows first, then the earlier ones; every batch delivered twice."""
     store = GraphStore(spark, scratch_path(spark, "late-store"))
+    feeds = {d: rows(spark, sf, d) for d in raw_feeds(spark, sf)}
     for batch, late in enumerate((True, False)):
-        part = {d: rows(spark, sf, d).filter((F.col("seq") % 3 == 0) == late) for d in ("customer_log", "login")}
+        part = {d: r.filter((F.pmod(F.coalesce("seq", F.xxhash64(*r.columns)), F.lit(3)) == 0) == late) for d, r in feeds.items()}
         store.append("parts", batch, part)
         store.append("parts", batch, part)
     return store.read().edges
 
 
-_LOGIN_EDGES = (
-    "SELECT src_key, rel, dst_key, first_seen_ts, last_seen_ts, event_count FROM edges "
-    "WHERE rel LIKE 'LOGIN%' OR rel IN ('HAS_IDENTITY', 'HAS_PHONE')"
-)
-
-
-@register("ST6_repeated_batches", query(f"SELECT rel, count(*) AS edges, sum(event_count) AS events FROM ({_LOGIN_EDGES}) GROUP BY 1"))
+@register("ST6_repeated_batches", query("SELECT rel, count(*) AS edges, sum(event_count) AS events FROM edges GROUP BY 1"))
 def st6(spark, sf):
     return (
         _late_and_repeated(spark, sf)
@@ -345,8 +413,6 @@ def st7(spark, sf):
     return links.groupBy("node_type", "key").agg(F.count(F.lit(1)).alias("uid_count"))
 
 
-@register("ST8_late_data", query(_LOGIN_EDGES))
+@register("ST8_late_data", query(f"SELECT {_EDGE_COLUMNS}, first_seen_ts, last_seen_ts, event_count FROM edges"))
 def st8(spark, sf):
-    return _late_and_repeated(spark, sf).select(
-        "src_key", "rel", "dst_key", "first_seen_ts", "last_seen_ts", "event_count"
-    )
+    return _late_and_repeated(spark, sf)

@@ -198,6 +198,8 @@ def aggregate_nodes(touches: DataFrame) -> DataFrame:
 # picks the newest and tables of them merge like the counters do. Dates and the
 # case source merge by plain ``max``.
 _VALUE = "struct<ts:timestamp_ntz,seq:bigint,value:string>"
+#: The status that a blacklist backfill sets.
+LISTED = "BLACKLISTED"
 STAMPED = {
     "customer": "struct<ts:timestamp_ntz,seq:bigint,identity_no:string,phone_num:string>",
     "order_status": _VALUE,
@@ -209,6 +211,7 @@ STAMPED = {
     "overdue_days": _VALUE,
     "plan_status": _VALUE,
     "source": "string",
+    "listed": "boolean",
 }
 
 
@@ -345,13 +348,13 @@ def finish_nodes(touches: DataFrame, attributes: DataFrame | None) -> DataFrame:
         F.col("customer.identity_no").alias("latest_identity"),
         F.col("customer.phone_num").alias("latest_phone"),
         F.col("order_status.value").alias("order_status"),
-        F.col("blacklist.status").alias("status"),
+        F.when(F.col("listed"), F.lit(LISTED)).otherwise(F.col("blacklist.status")).alias("status"),
         F.col("blacklist.reason_list").alias("reason_list"),
         "due_date",
         "repayed_date",
         *[F.col(f"{c}.value").alias(c) for c in ("early_mark", "overdue_mark", "overdue_days", "plan_status")],
         "source",
-        F.col("blacklist").isNotNull().alias("is_blacklisted"),
+        (F.col("blacklist").isNotNull() | F.coalesce("listed", F.lit(False))).alias("is_blacklisted"),
     )
 
 
@@ -419,7 +422,24 @@ def blacklist_delta(nodes: DataFrame, blacklist_rows: DataFrame) -> DataFrame:
     listed = blacklist_marks(blacklist_rows).select(*NODE_KEY).distinct()
     types = [F.col("node_type") == t for t in ("uid", "phone_num", "identity_no")]
     touched = nodes.filter(types[0] | types[1] | types[2]).join(listed, NODE_KEY, "left_semi")
-    return touched.withColumns({"is_blacklisted": F.lit(True), "status": F.lit("BLACKLISTED")})
+    return touched.withColumns({"is_blacklisted": F.lit(True), "status": F.lit(LISTED)})
+
+
+def backfill_attributes(dataset: str, rows: DataFrame, as_of: str) -> DataFrame:
+    """Backfill rows as stamped attributes, which merge like those of feeds and make no node.
+
+    An order's status counts from ``as_of``: it wins over order rows up to then, later rows
+    win over it. A blacklist mark stays.
+    """
+    if dataset == "order":
+        newest = _order_attributes(rows).filter(F.col("order_status").isNotNull())
+        when = F.lit(as_of).cast("timestamp_ntz").alias("ts")
+        last = F.lit((1 << 63) - 1).alias("seq")
+        stamped = F.struct(when, last, F.col("order_status.value").alias("value"))
+        return _all_stamped(newest.select(*NODE_KEY, stamped.alias("order_status")))
+    if dataset != "blacklist_log":
+        raise ValueError(f"no backfill from {dataset}")
+    return _all_stamped(blacklist_marks(rows).select(*NODE_KEY).distinct().withColumn("listed", F.lit(True)))
 
 
 def backfill_order_status(nodes: DataFrame, order_rows: DataFrame) -> DataFrame:
@@ -439,6 +459,6 @@ def backfill_blacklist(nodes: DataFrame, blacklist_rows: DataFrame) -> DataFrame
     return (
         nodes.join(listed, NODE_KEY, "left")
         .withColumn("is_blacklisted", F.col("is_blacklisted") | hit)
-        .withColumn("status", F.when(hit, F.lit("BLACKLISTED")).otherwise(F.col("status")))
+        .withColumn("status", F.when(hit, F.lit(LISTED)).otherwise(F.col("status")))
         .drop("_listed")
     )

@@ -363,3 +363,15 @@ def graph_cohort(graph: Graph) -> DataFrame:
     """All uids of the graph in two groups by their blacklist mark."""
     grp = F.when(F.col("is_blacklisted"), "blacklist").otherwise("normal")
     return graph.nodes.filter(F.col("node_type") == "uid").select(F.col("key").alias("uid"), grp.alias("grp"))
+
+
+def group_report(members: DataFrame, counts: DataFrame, k: int = 3) -> dict[str, DataFrame]:
+    """The parts of the report on both groups: means by hop, isolation, types by hop, members with their totals by hop."""
+    totals = member_hop_totals(members, counts, k)
+    per_member = member_totals(totals)
+    return {
+        "mean_by_hop": mean_by_hop(totals),
+        "isolation": isolation_statistics(per_member),
+        "types": type_distribution(members, counts),
+        "members": per_member.select("grp", "uid", "total", *[F.col("by_hop")[h].alias(f"hop_{h}") for h in range(1, k + 1)]),
+    }

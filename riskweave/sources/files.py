@@ -232,6 +232,12 @@ def numbered_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     return numbered.filter(F.btrim("value", F.lit(rules.WHITESPACE)) != "")
 
 
+def blank_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """The number of blank lines, as one row."""
+    blank = F.btrim("value", F.lit(rules.WHITESPACE)) == ""
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path).agg(F.count_if(blank).alias("n"))
+
+
 EVENT_SCHEMA = "type string, ts string, data map<string,string>, id_type string, id_value string, labels string"
 
 

@@ -3,8 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.operators.feeds import backfill_rows
 from riskweave.session import scratch_path
-from riskweave.sources.files import after_checkpoint, numbered_lines, parse_events
+from riskweave.sources.files import after_checkpoint, blank_lines, numbered_lines, parse_events
 from riskweave.sources.store import GraphStore
 from riskweave.streaming import ingest as I
 
@@ -271,3 +272,68 @@ def test_positions_are_the_total_order(spark):
     got = sorted((r.position, r.a, r.b) for r in with_positions(df, ["a", "b"]).collect())
     assert got == [(p, a, b) for p, (a, b) in enumerate(sorted(rows))]
     assert with_positions(df.limit(0), ["a"]).count() == 0
+
+
+def test_backfills_change_stored_nodes_and_make_none(spark):
+    store = GraphStore(spark, scratch_path(spark, "backfill"))
+
+    def order(i, status, second):
+        texts = [ev("order", second, order_id=i, user_id="U1", order_status=status)]
+        return I.feed_rows(I.accepted(I.checked_events(parse_events(lines(spark, texts)))), F.col("line"))
+
+    def nodes():
+        return {(r.node_type, r.key): r for r in store.read().nodes.collect()}
+
+    status = spark.createDataFrame(
+        [("O1", "SETTLED", "2024-01-01 00:00:00", 1), ("O1", None, "2024-01-02 00:00:00", 2), ("O9", "SETTLED", None, 3)],
+        "id string, order_status string, create_date string, seq long",
+    )
+    listed = spark.createDataFrame([("U1", None, None, None), ("U7", "x", None, None)], "c_customer_no string, c_reason_list string, d_begin_date string, seq long")
+    status, listed = backfill_rows("order", status), backfill_rows("blacklist_log", listed)
+
+    assert store.backfill("status", 0, "order", status, "2024-01-01 10:00:30")
+    assert nodes() == {}
+    store.append("orders", 0, order("O1", "OVERDUE", 1))
+    assert store.backfill("listed", 0, "blacklist_log", listed, "2024-01-01 10:00:30")
+    assert not store.backfill("listed", 0, "blacklist_log", listed, "2024-01-01 10:00:30")
+    before = nodes()
+    assert set(before) == {("uid", "u1"), ("order", "O1")}
+    assert before[("order", "O1")].order_status == "SETTLED"
+    assert (before[("uid", "u1")].is_blacklisted, before[("uid", "u1")].status) == (True, "BLACKLISTED")
+    store.compact()
+    assert nodes() == before
+    # An order row after the backfill wins; the blacklist mark stays.
+    store.append("orders", 1, order("O1", "REPAYED", 59))
+    store.compact()
+    after = nodes()
+    assert after[("order", "O1")].order_status == "REPAYED" and after[("uid", "u1")].status == "BLACKLISTED"
+    with pytest.raises(ValueError):
+        store.backfill("other", 0, "login", listed, "2024-01-01 10:00:30")
+
+
+def test_results_are_stored_once_and_only_with_their_batch(spark, monkeypatch):
+    store = GraphStore(spark, scratch_path(spark, "results"))
+    first, second = (parse_events(lines(spark, t)) for t in (CUSTOMER[:1] + LOGIN, CUSTOMER[1:] + OTHER + RISK))
+    assert store.results() is None
+    for _ in range(2):
+        I.apply_batch(store, first, 0, results=True)
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            I.apply_batch(store, second, 1, results=True)
+    assert store.results().count() == 3
+    I.apply_batch(store, second, 1, results=True)
+    got = store.results().collect()
+    assert len(got) == len(CUSTOMER + LOGIN + OTHER + RISK)
+    # The first customer row of the second batch is compared with the row that the first batch stored.
+    changes = {r.seq: (r.deduplicated, r.identity_changed) for r in got if r.event_type == "customer_update" and not r.phone_changed}
+    assert changes == {0: (True, False), 1: (False, True)}
+    risk = [r for r in got if r.event_type == "risk_assessment"]
+    assert [(r.id_type, r.id_value, r.updated) for r in risk] == [("uid", "U1", False)]
+
+
+def test_counters_with_blank_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text("\n".join([LOGIN[0], "", "  ", "{broken", OTHER[0]]) + "\n")
+    read = parse_events(numbered_lines(spark, str(tmp_path)))
+    row = I.ingest_counters(I.checked_events(read), blank_lines(spark, str(tmp_path))).first()
+    assert (row.total_lines, row.success, row.json_errors, row.skipped_empty) == (3, 2, 1, 2)
