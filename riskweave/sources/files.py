@@ -214,18 +214,28 @@ def _below(spark: SparkSession, root: str) -> Column:
     return below
 
 
-def numbered_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Text lines with the file's path below ``path`` and line number, blank lines left out but counted.
+def list_event_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(file, path, length) of the files of a folder, ``file`` being the path below it. Content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(_below(spark, path).alias("file"), "path", "length")
 
-    Lines number themselves inside their split; splits of a file add the lines of
-    the splits before them, a table of one row per split.
+
+def numbered_lines(spark: SparkSession, path: str, glob: str = "*", root: str | None = None) -> DataFrame:
+    """Text lines with the file's path below ``root`` and line number, blank lines left out but counted.
+
+    ``root`` is ``path`` unless given. Lines number themselves inside their split; splits of a
+    file add the lines of the splits before them, a table of one row per split.
     """
-    lines = _lines(spark, path, glob)
+    return number_lines(_lines(spark, path, glob), _below(spark, root or path))
+
+
+def number_lines(lines: DataFrame, file: Column) -> DataFrame:
+    """``file``, ``line`` and ``value`` of raw lines (value, path, block, id) whose ids grow inside a split."""
     blocks = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     numbered = lines.join(starts, ["path", "block"]).select(
-        _below(spark, path).alias("file"),
+        file.alias("file"),
         (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"),
         "value",
     )

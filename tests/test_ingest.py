@@ -337,3 +337,114 @@ def test_counters_with_blank_lines(spark, tmp_path):
     read = parse_events(numbered_lines(spark, str(tmp_path)))
     row = I.ingest_counters(I.checked_events(read), blank_lines(spark, str(tmp_path))).first()
     assert (row.total_lines, row.success, row.json_errors, row.skipped_empty) == (3, 2, 1, 2)
+
+
+def customer(uid, day, seq, identity, phone="P"):
+    return (uid, identity, phone, f"2024-01-{day:02d} 10:00:{seq % 60:02d}", seq)
+
+
+def customers(spark, rows):
+    df = spark.createDataFrame(rows, "uid string, identity_no string, phone_num string, ts string, seq long")
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def test_late_customer_rows_across_two_compactions(spark):
+    """Folded history equals the lag over all rows; no folded row of another day or uid is read."""
+    from riskweave.operators.graph import aggregate_edges, edge_rows
+
+    one = [customer("u1", 1, 1, "A"), customer("u1", 1, 3, "B"), customer("u1", 5, 5, "B"), customer("u2", 2, 6, None), customer("u2", 2, 8, "X", None)]
+    # Late ones: between two rows of a folded day, on a new day between, before all, and equal rows twice.
+    two = [customer("u1", 1, 2, "A"), customer("u1", 3, 4, "A"), customer("u1", 5, 5, "B"), customer("u3", 1, 9, "C")]
+    three = [customer("u1", 1, 0, "Z"), customer("u2", 2, 7, "Y"), customer("u1", 3, 10, None), customer("u3", 2, 11, "C")]
+    store = GraphStore(spark, scratch_path(spark, "history"))
+    so_far = []
+    for batch, part in enumerate((one, two, three)):
+        store.append("customers", batch, {"customer_log": customers(spark, part)})
+        so_far += part
+        if batch == 2:
+            whole = edge_rows("customer_log", customers(spark, so_far))
+            want = sorted(map(str, aggregate_edges(whole).collect()))
+            assert sorted(map(str, store.read().edges.collect())) == want
+        store.compact()
+    assert sorted(map(str, store.read().edges.collect())) == want
+    days = customers(spark, [customer("u1", 1, 0, "?")]).selectExpr("uid", "CAST(ts AS date) AS day")
+    assert {(r.uid, r.ts.day) for r in store._folded_rows(days, store._base()).collect()} == {("u1", 1)}
+    assert "customer_rows" not in store.read().edges._jdf.queryExecution().toString()
+    before = store.customers_before(customers(spark, [customer("u1", 3, 12, "N")])).collect()
+    assert sorted((r.uid, r.ts.day) for r in before) == [("u1", 1), ("u1", 3), ("u1", 3), ("u1", 5)]
+
+
+def test_results_after_a_compaction(spark):
+    """A new row is compared with the row before it although that one is folded."""
+    store = GraphStore(spark, scratch_path(spark, "results-folded"))
+    I.apply_batch(store, parse_events(lines(spark, CUSTOMER[:2])), 0, results=True)
+    store.compact()
+    late = [CUSTOMER[2], CUSTOMER[2].replace("10:00:03", "10:00:01")]
+    I.apply_batch(store, parse_events(lines(spark, late)), 1, results=True)
+    got = sorted((r.seq, r.identity_changed) for r in store.results().collect())
+    assert got == [(0, True), (0, True), (1, False), (1, True)]
+
+
+def write_files(folder, files):
+    for name, texts in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("".join(t + "\n" for t in texts))
+
+
+def test_replay_in_path_order_breaks_and_resumes(spark, tmp_path, monkeypatch):
+    write_files(tmp_path, {"b/2024-02.json": OTHER, "2024-01.json": CUSTOMER, "a/2024-02.json": ["", *LOGIN]})
+    store = GraphStore(spark, scratch_path(spark, "replay"))
+    commit = GraphStore._commit
+    with monkeypatch.context() as broken:
+        # The second file breaks after its tables are written.
+        broken.setattr(GraphStore, "_commit", lambda self, s, b: commit(self, s, b) if b == 0 else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            I.replay(spark, store, str(tmp_path), "r", results=True)
+    assert [(r.file, r.line) for r in store.progress("replay/r").collect()] == [("2024-01.json", 3)]
+    assert I.replay(spark, store, str(tmp_path), "r", results=True) == 2
+    assert I.replay(spark, store, str(tmp_path), "r", results=True) == 0
+    with open(tmp_path / "a/2024-02.json", "a") as more:
+        more.write(OTHER[0].replace("G1", "G2") + "\n")
+    assert I.replay(spark, store, str(tmp_path), "r", results=True) == 1
+    whole = GraphStore(spark, scratch_path(spark, "replay-whole"))
+    I.apply_batch(whole, parse_events(lines(spark, CUSTOMER + LOGIN + OTHER + [OTHER[0].replace("G1", "G2")])), 0)
+    assert sorted(map(str, store.read().edges.collect())) == sorted(map(str, whole.read().edges.collect()))
+    assert store.results().count() == len(CUSTOMER + LOGIN + OTHER) + 1
+
+
+def test_replay_halts_until_cleared(spark, tmp_path):
+    write_files(tmp_path, {"1.json": [CUSTOMER[0], "{broken", CUSTOMER[2]], "2.json": LOGIN})
+    store = GraphStore(spark, scratch_path(spark, "halted"))
+    run = lambda: I.replay(spark, store, str(tmp_path), "h", stop_on_error=True, results=True)
+    assert run() == 1
+    halt = store.halt("replay/h")
+    assert (halt.file, halt.line, halt.error) == ("1.json", 2, "Invalid JSON")
+    assert store.results().count() == 1 and store.halt("replay/other") is None
+    with pytest.raises(I.IngestHalted):
+        run()
+    store.clear_halt("replay/h")
+    assert run() == 2 and store.halt("replay/h") is None
+    assert store.results().count() == 2 + len(LOGIN)
+
+
+def test_stream_stops_at_the_first_error_of_all_batches(spark, tmp_path):
+    import os
+
+    write_files(tmp_path, {"1.json": CUSTOMER, "2.json": [LOGIN[0], "", "{broken", LOGIN[1]], "3.json": OTHER})
+    for i in (1, 2, 3):
+        os.utime(tmp_path / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    store, checkpoint = GraphStore(spark, scratch_path(spark, "halting")), scratch_path(spark, "halting-ck")
+
+    def run():
+        stream = I.start_ingest(I.read_line_stream(spark, str(tmp_path), 1), store, checkpoint, results=True, stop_on_error=True)
+        stream.awaitTermination()
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="3: Invalid JSON"):
+            run()
+        assert store.results().count() == len(CUSTOMER) + 1
+    store.clear_halt(I.stream_source(spark, checkpoint))
+    run()
+    assert store.results().count() == len(CUSTOMER) + 1 + len(OTHER)
+    with pytest.raises(ValueError):
+        I.start_ingest(I.read_event_stream(spark, str(tmp_path)), store, checkpoint, stop_on_error=True)
