@@ -324,23 +324,35 @@ def st4(spark, sf):
 _FIRST = "seq % 2 = 1"
 
 
-@register(
-    "ST5_change_results",
-    query(
-        f"SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED.replace(_GOOD, _GOOD + ' AND ' + _FIRST)}) "
-        f"UNION ALL SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED}) WHERE NOT ({_FIRST})"
-    ),
+_CHANGE_RESULTS = (
+    f"SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED.replace(_GOOD, _GOOD + ' AND ' + _FIRST)}) "
+    f"UNION ALL SELECT seq, uid, identity_changed, phone_changed FROM ({_CHANGED}) WHERE NOT ({_FIRST})"
 )
-def st5(spark, sf):
+
+
+def _change_results(spark, sf, fold: bool) -> DataFrame:
     """Customer changes as two batches report them, each compared with the rows known by then; both are delivered twice."""
     store = GraphStore(spark, scratch_path(spark, "result-store"))
     events = _checked(spark, sf).filter(F.col("kind") == "customer_update").withColumn("line", F.col("seq"))
     for batch, part in enumerate((events.filter(_FIRST), events.filter(f"NOT ({_FIRST})"))):
         for _ in range(2):
             I.apply_batch(store, part.drop("seq", "kind", "error"), batch, results=True)
+        if fold and batch == 0:
+            store.compact()
     return store.results().select("seq", "uid", "identity_changed", "phone_changed")
 
 
+@register("ST5_change_results", query(_CHANGE_RESULTS))
+def st5(spark, sf):
+    return _change_results(spark, sf, fold=False)
+
+
+@register("ST5_folded_results", query(_CHANGE_RESULTS))
+def st5_folded(spark, sf):
+    """The rows of the first batch are folded before the second comes."""
+    return _change_results(spark, sf, fold=True)
+
+
 @register(
     "G09_risk_snapshots",
     query(f"SELECT i.id_type, i.id_value, count(*) AS n FROM ({_IDS}) i GROUP BY 1, 2"),
@@ -384,7 +396,24 @@ def st1(spark, sf):
     return store.read().edges
 
 
-def _late_and_repeated(spark, sf) -> DataFrame:
+@register(
+    "S09_ordered_replay",
+    query(
+        f"SELECT {_EDGE_COLUMNS}, min(ts) AS first_seen_ts, max(ts) AS last_seen_ts, count(*) AS event_count "
+        f"FROM ({_streamed_rows()}) GROUP BY ALL"
+    ),
+)
+def s09_replay(spark, sf):
+    """Files of all events in time order, replayed by path, and replayed again."""
+    path = scratch_path(spark, "replay-in")
+    json_lines(spark, sf).repartitionByRange(*E.TOTAL_ORDER).sortWithinPartitions(*E.TOTAL_ORDER).select("value").write.text(path)
+    store = GraphStore(spark, scratch_path(spark, "replay-store"))
+    for _ in range(2):
+        I.replay(spark, store, path, "events", glob="part-*")
+    return store.read().edges
+
+
+def _late_and_repeated(spark, sf, fold: bool = False) -> DataFrame:
     """All feeds, later rows first, then the earlier ones; every batch delivered twice."""
     store = GraphStore(spark, scratch_path(spark, "late-store"))
     feeds = {d: rows(spark, sf, d) for d in raw_feeds(spark, sf)}
@@ -392,6 +421,8 @@ def _late_and_repeated(spark, sf) -> DataFrame:
         part = {d: r.filter((F.pmod(F.coalesce("seq", F.xxhash64(*r.columns)), F.lit(3)) == 0) == late) for d, r in feeds.items()}
         store.append("parts", batch, part)
         store.append("parts", batch, part)
+        if fold and late:
+            store.compact()
     return store.read().edges
 
 
@@ -416,3 +447,9 @@ def st7(spark, sf):
 @register("ST8_late_data", query(f"SELECT {_EDGE_COLUMNS}, first_seen_ts, last_seen_ts, event_count FROM edges"))
 def st8(spark, sf):
     return _late_and_repeated(spark, sf)
+
+
+@register("ST8_late_after_fold", query(f"SELECT {_EDGE_COLUMNS}, first_seen_ts, last_seen_ts, event_count FROM edges"))
+def st8_fold(spark, sf):
+    """The later rows are folded before the earlier ones come."""
+    return _late_and_repeated(spark, sf, fold=True)
