@@ -182,6 +182,37 @@ def test_neighbourhood_equals_breadth_first_search(spark):
             assert got == counted, (k, hub_degree)
 
 
+def test_counts_by_parts_and_blocks_equal_the_listing(spark):
+    """Unions made in blocks of starts and narrow parts of the nodes, classes cut by them included."""
+    graph, nodes, _ = random_graph(spark, 7, users=160, width=6)
+    marked = graph.nodes.withColumn("is_blacklisted", F.col("node_type").isin(*rules.BLACKLISTABLE_TYPES))
+    graph = Graph(marked, graph.edges)
+    anomalies = nb.classify(graph)
+    starts = graph.nodes.filter("node_type = 'uid'").select(F.col("key").alias("uid"))
+    found = nb.reach(graph, starts, anomalies, 3, 5)
+    listed = nb.anomaly_nodes(found, anomalies).groupBy("uid", "hop", "kind", "label", "assoc").agg(F.count(F.lit(1)).alias("n"))
+    counted = nb.anomaly_counts(found, anomalies, part_bytes=1, block_pairs=100)
+    assert counted.count() > len({n[1] for n in nodes if n[0] == "uid"})
+    assert sorted(counted.select(listed.columns).collect()) == sorted(listed.collect())
+
+
+def test_walks_leave_out_types_that_lead_to_no_end(spark):
+    """A plan is met at two hops of three and leads back to its order only; with one more hop it counts."""
+    ts = START
+    rows = [
+        ("uid", "u", "PLACED_ORDER", "order", "o", ts, ts, 1),
+        ("order", "o", "REPAY_PLAN", "repay_plan", "r", ts, ts, 1),
+        ("order", "o", "ORDER_APPLY_PHONE", "phone_num", "p", ts, ts, 1),
+    ]
+    edge = "src_type string, src_key string, rel string, dst_type string, dst_key string, first_seen_ts timestamp_ntz, last_seen_ts timestamp_ntz, event_count long"
+    graph = Graph(spark.createDataFrame([("uid", "u")], "node_type string, key string"), spark.createDataFrame(rows, edge))
+    starts = spark.createDataFrame([("u",)], "uid string")
+    ends = spark.createDataFrame([("phone_num|p",)], "node string")
+    walks = {r.node: r.d for r in nb.reach(graph, starts, ends, 3).walks.collect()}
+    assert walks == {"uid|u": 0, "order|o": 1, "phone_num|p": 2}
+    assert set(nb.useful_types(graph.edges, ["phone_num"], 4)) == {"uid", "order", "repay_plan", "phone_num"}
+
+
 def test_auc_with_ties_and_many_ranges(spark):
     rnd = random.Random(9)
     rows = [(float(rnd.randrange(400)) if i % 3 else 7.0, rnd.random() < 0.3) for i in range(3000)]
