@@ -18,6 +18,18 @@ def test_hot_keys_are_few(spark):
     assert [r.k for r in hot_keys(df, ["k"], share=0.1).collect()] == ["hot"]
 
 
+def test_hot_keys_shuffle_no_cold_key(spark):
+    """Counted by a hash first: the exchange of keys comes behind the choice of large groups."""
+    rows = hot_rows() + [(None, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    total = len(rows)
+    for share in (0.5, 0.1, 0.001):
+        want = {k for k in {k for k, _ in rows} if sum(k == x for x, _ in rows) >= share * total}
+        assert {r.k for r in hot_keys(df, ["k"], share=share).collect()} == want
+    plan = hot_keys(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "xxhash64" in plan
+
+
 def test_salted_lookup_equals_plain_join(spark):
     many = spark.createDataFrame(hot_rows(), "k string, i int")
     one = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 700, 2)], "k string, v int")
