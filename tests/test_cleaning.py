@@ -85,3 +85,18 @@ def test_blacklist_cut_is_exclusive(spark):
     kept = valid_rows("blacklist_log", raw, "2025-11-20 00:00:00")
     assert [r.uid for r in kept.collect()] == ["a"]
     assert row_accounting("blacklist_log", raw, "2025-11-20 00:00:00").first().skipped_missing_time_before_cut == 1
+
+
+def test_quotes_are_dropped_as_by_the_pattern(spark):
+    """The pattern is met only by texts that begin with a quote; the values of a map are cleaned the same way."""
+    from riskweave.functions.clean import clean_text, strip_quotes
+    from riskweave.streaming.ingest import _clean_values
+
+    texts = ['"a"', ' "a" ', '"', '""', 'a"b"', '"a', 'a"', '"NaN"', '" x "', '"a" ', '"a\nb"', '"a"b"', "", "  ", None, "null"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    trimmed = F.btrim("t", F.lit(rules.WHITESPACE))
+    whole = F.regexp_replace(trimmed, r'(?s)^"(.*)"$', "$1")
+    got = df.select(
+        strip_quotes("t").alias("a"), whole.alias("b"), _clean_values(F.create_map(F.lit("k"), "t"))["k"].alias("c"), clean_text(whole).alias("d")
+    ).collect()
+    assert [(r.a, r.c) for r in got] == [(r.b, r.d) for r in got]
