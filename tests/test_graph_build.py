@@ -65,3 +65,27 @@ def test_attributes_are_the_newest_of_a_node(spark):
         assert mine.due_date == max(r.due_date for r in seen)
         marks = [(r.ts, r.overdue_mark) for r in seen if r.overdue_mark is not None]
         assert (mine.overdue_mark and (mine.overdue_mark.ts, mine.overdue_mark.value)) == (max(marks) if marks else None)
+
+
+def test_record_nodes_equal_touches_with_attributes(spark):
+    """Nodes of orders and plans from their own rows; rows without a link describe a node, but make none."""
+    rows = feeds(spark)
+    lone = spark.createDataFrame([("lone", None, "late", None, None, None, "p1", None, None, START, 1), ("o1", None, "late", None, None, None, None, None, None, START + dt.timedelta(days=90), 2)], ORDER)
+    unplaced = spark.createDataFrame([(None, "r99", START, None, None, None, None, None, START, None), ("o99", "r98", None, None, None, "x", None, None, None, None)], PLAN)
+    cases = {d: r.unionByName(more) for (d, r), more in zip(rows.items(), (lone, unplaced))}
+    for some in (cases, {"order": cases["order"]}, {"repay_plan": cases["repay_plan"]}):
+        edges = G.build_edges(some)
+        want = G.finish_nodes(G.node_touches(edges, some), G.stamped_attributes(some))
+        got = G.nodes_from(edges, some)
+        assert got.columns == want.columns
+        assert bag(got) == bag(want)
+        assert "lone" not in {r.key for r in got.collect()}
+
+
+def test_records_stay_dealt_over_the_partitions(spark):
+    """Small shuffled blocks are not joined up to a few tasks, which would group many more rows than they can hold."""
+    rows = feeds(spark)
+    edges = G.feed_edges(rows).filter(F.col("rel") == "REPAY_PLAN")
+    assert edges.select(F.spark_partition_id()).distinct().count() > 1
+    nodes = G.nodes_from(G.feed_edges(rows), rows).filter(F.col("node_type") == "repay_plan")
+    assert nodes.select(F.spark_partition_id()).distinct().count() > 1
