@@ -223,3 +223,34 @@ def test_auc_with_ties_and_many_ranges(spark):
         assert abs(evaluate.auc(df, F.col("hit"), buckets).first().auc - want) < 1e-12
     row = evaluate.evaluate_scores(df, F.col("hit")).first()
     assert (row.positives, row.negatives) == (len(pos), len(neg))
+
+
+def test_hot_keys_of_a_walk_are_counted_once(spark, monkeypatch):
+    """Rounds with targets read what is needed as written tables, and do not count the edges again."""
+    from riskweave.operators import skew
+
+    counted = []
+    plain = skew.hot_keys
+
+    def counting(df, keys, *more):
+        counted.append(list(keys))
+        return plain(df, keys, *more)
+
+    monkeypatch.setattr(skew, "hot_keys", counting)
+    monkeypatch.setattr(R, "hot_keys", counting)
+    graph, _, _ = random_graph(spark, 3)
+    targets = spark.createDataFrame([("uid", "u1"), ("uid", "u1")], "node_type string, key string")
+    assert R.k_hop_risk(graph, 2, targets=targets).count() == 1
+    # The walk's edges once, and the links of the association window.
+    assert sorted(counted) == sorted([R.NEIGHBOUR, R.NODE])
+
+
+def test_neighbours_of_some_types(spark):
+    """Edges to other types are left out before they are turned."""
+    rows = [("uid", "u1", "PLACED_ORDER", "order", "o1"), ("order", "o1", "REPAY_PLAN", "repay_plan", "r1"), ("uid", "u1", "HAS_PHONE", "phone_num", "p1"), ("phone_num", "p1", "SELF", "phone_num", "p1")]
+    edges = spark.createDataFrame([(*r, None) for r in rows], "src_type string, src_key string, rel string, dst_type string, dst_key string, last_seen_ts timestamp_ntz")
+    types = ["uid", "order", "phone_num"]
+    want = R.neighbour_edges(edges).filter(F.col("node_type").isin(types) & F.col("n_type").isin(types))
+    got = R.neighbour_edges(edges, types)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 5
