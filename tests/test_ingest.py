@@ -427,6 +427,32 @@ def test_replay_halts_until_cleared(spark, tmp_path):
     assert store.results().count() == 2 + len(LOGIN)
 
 
+def test_replay_takes_files_in_batches_by_bytes(spark, tmp_path):
+    """Files share batches; their order, their progress and a halt inside a batch stay by file and line."""
+    write_files(tmp_path, {"1.json": CUSTOMER[:1], "2.json": CUSTOMER[1:], "3.json": ["", *LOGIN], "4.json": OTHER})
+    plain, grouped, two = (GraphStore(spark, scratch_path(spark, n)) for n in ("replay-plain", "replay-grouped", "replay-two"))
+    assert I.replay(spark, plain, str(tmp_path), "r", results=True) == 4
+    assert I.replay(spark, grouped, str(tmp_path), "r", results=True, batch_bytes=1 << 20) == 1
+    first = sum((tmp_path / f"{i}.json").stat().st_size for i in (1, 2, 3))
+    assert I.replay(spark, two, str(tmp_path), "r", results=True, batch_bytes=first) == 2
+    for store in (grouped, two):
+        for of in (lambda s: s.read().edges, lambda s: s.results().drop("seq"), lambda s: s.progress("replay/r")):
+            assert sorted(map(str, of(store).collect())) == sorted(map(str, of(plain).collect()))
+        assert I.replay(spark, store, str(tmp_path), "r", results=True, batch_bytes=1 << 20) == 0
+    with open(tmp_path / "2.json", "a") as more:
+        more.write("{broken\n" + ev("gps", 9, cid="U2", geo_code="G3") + "\n")
+    write_files(tmp_path, {"5.json": [OTHER[0].replace("G1", "G4")]})
+    halting = lambda: I.replay(spark, grouped, str(tmp_path), "r", stop_on_error=True, batch_bytes=1 << 20)
+    assert halting() == 1
+    halt = grouped.halt("replay/r")
+    assert (halt.file, halt.line) == ("2.json", 3)
+    assert {r.file: r.line for r in grouped.progress("replay/r").collect()} == {"1.json": 1, "2.json": 3, "3.json": 3, "4.json": len(OTHER)}
+    grouped.clear_halt("replay/r")
+    assert halting() == 1 and halting() == 0
+    keys = {r.dst_key for r in grouped.read().edges.filter("rel = 'LOCATED_AT'").collect()}
+    assert keys == {"g1", "g3", "g4"}
+
+
 def test_stream_stops_at_the_first_error_of_all_batches(spark, tmp_path):
     import os
 
