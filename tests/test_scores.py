@@ -213,6 +213,23 @@ def test_walks_leave_out_types_that_lead_to_no_end(spark):
     assert set(nb.useful_types(graph.edges, ["phone_num"], 4)) == {"uid", "order", "repay_plan", "phone_num"}
 
 
+def test_what_hubs_reach_is_made_without_rows_of_their_walks(spark):
+    """Two users of a phone that is a hub: lists of numbers, and what the hub has behind a node in between."""
+    ts = START
+    rows = [("uid", f"u{i}", "HAS_PHONE", "phone_num", "p", ts, ts, 1) for i in range(5)]
+    rows += [("uid", f"u{i}", "LOGIN_WITH_DEVICE", "device_no", f"d{i % 2}", ts, ts, 1) for i in range(4)]
+    edge = "src_type string, src_key string, rel string, dst_type string, dst_key string, first_seen_ts timestamp_ntz, last_seen_ts timestamp_ntz, event_count long"
+    touched = sorted({(r[0], r[1]) for r in rows} | {(r[3], r[4]) for r in rows})
+    nodes = spark.createDataFrame([(*n, n == ("uid", "u3")) for n in touched], "node_type string, key string, is_blacklisted boolean")
+    graph = Graph(nodes, spark.createDataFrame(rows, edge))
+    anomalies = nb.classify(graph)
+    found = nb.reach(graph, spark.createDataFrame([("u4",), ("u4",)], "uid string"), anomalies, 3, 5)
+    named = found.hub_ends.join(found.numbers, "number")
+    assert sorted((r.node, r.b) for r in named.collect()) == [("device_no|d0", 2), ("device_no|d1", 2), ("phone_num|p", 2), ("uid|u3", 1)]
+    assert found.lists.count() == 1
+    assert sorted((r.key, r.hop) for r in nb.anomaly_nodes(found, anomalies).collect()) == [("d0", 3), ("d1", 3), ("p", 1), ("u3", 2)]
+
+
 def test_auc_with_ties_and_many_ranges(spark):
     rnd = random.Random(9)
     rows = [(float(rnd.randrange(400)) if i % 3 else 7.0, rnd.random() < 0.3) for i in range(3000)]
