@@ -13,9 +13,10 @@ a tree. A pair of intervals, at first the whole order with itself, is
 * else split into the pairs of its parts.
 
 Spark does that level by level as joins with the tree, down to intervals of BLOCK vectors.
-Each pair of those that is left goes to a task with both matrices, which goes on in the
-same way by halves and multiplies what remains in double precision. A task returns the
-number of links and one connecting link for each vector, never the pairs.
+The pairs of those that are left go to tasks in square tiles, with the matrices of a tile's
+blocks. A task goes on with each pair in the same way by halves and multiplies what remains
+in double precision. It returns the number of links and one connecting link for each vector
+of the tile, never the pairs.
 
 Equal vectors are one class throughout, with their number as its weight.
 
@@ -47,8 +48,8 @@ FAN = 8
 LEAF = 256
 #: Leading axes in the order and in the boxes.
 AXES = 16
-#: Pairs of blocks that one key of a join deals out.
-PAIRS = 64
+#: Pairs of blocks in a square tile at most, and tiles that there are before they grow.
+PAIRS, TILES = 256, 256
 #: Distances this near to eps are decided by multiplication.
 MARGIN = 1e-7
 #: Vectors of different lengths lie so far apart on an axis of their own.
@@ -213,16 +214,6 @@ def interval_pairs(nodes: DataFrame, blocks: int, eps: float) -> tuple[DataFrame
     return pairs, whole
 
 
-def _with_block(pairs: DataFrame, blocks: DataFrame, side: str) -> DataFrame:
-    """``pairs`` with the block of one side. A block of many pairs is dealt out over several keys."""
-    other = "b" if side == "a" else "a"
-    shares = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / PAIRS).cast("int").alias("_of"))
-    spread = pairs.join(shares, side).withColumn("_share", F.pmod(F.xxhash64(other), F.col("_of")).cast("int"))
-    dealt = shares.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
-    named = blocks.select(F.col("block").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("cls", "n", "vectors", "sizes")])
-    return spread.join(dealt.join(named, side).drop("_of"), [side, "_share"]).drop("_share", "_of")
-
-
 class Interval:
     """The vectors of a block on their axes, and the boxes of all its halves down to LEAF."""
 
@@ -293,23 +284,40 @@ FOUND = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64
 
 
 def multiplied(pairs: DataFrame, blocks: DataFrame, size: int, cosine: float) -> DataFrame:
-    """(cls, links, root) of the vectors that have links in the pairs of blocks; a row for each pair of blocks and vector."""
+    """(cls, links, root) of the vectors that have links in the pairs of blocks; a row for each tile and vector.
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for at in range(batch.num_rows):
-                r = batch.slice(at, 1).to_pylist()[0]
-                same = r["a"] == r["b"]
-                a = Interval(r["a_vectors"], r["a_n"], r["a_sizes"], size)
-                b = a if same else Interval(r["b_vectors"], r["b_n"], r["b_sizes"], size)
-                to_a, to_b, label = join_intervals(a, b, same, cosine)
-                cls = np.array(r["a_cls"] if same else r["a_cls"] + r["b_cls"], dtype=np.int64)
-                links = to_a if same else np.concatenate([to_a, to_b])
-                has = np.nonzero(links)[0]
-                yield record_batch(FOUND, cls[has], links[has], cls[label[has]])
-
-    with_both = _with_block(_with_block(pairs, blocks, "a"), blocks, "b")
-    return with_both.mapInArrow(run, "cls long, links long, root long")
+    A tile is up to PAIRS pairs, of some blocks with as many others: a task gets each of its blocks
+    once, so that a block is sent as often as it has tiles, not pairs. Few pairs are tiles of one.
+    """
+    pairs = written(pairs, "grid-todo")
+    side = max(1, math.isqrt(min(PAIRS, pairs.count() // TILES)))
+
+    def run(todo: pa.Table, held: pa.Table) -> pa.Table:
+        held = held.sort_by("block")
+        # The matrices are read in place.
+        raw = [x.as_buffer() for x in held.column("vectors")]
+        names, n, sizes = (held.column(c).to_pylist() for c in ("block", "n", "sizes"))
+        found = {name: Interval(*x, size) for name, *x in zip(names, raw, n, sizes)}
+        ends = np.cumsum([len(x) for x in n])
+        at = {name: np.arange(end - len(x), end) for name, x, end in zip(names, n, ends)}
+        cls = np.concatenate([np.array(x, dtype=np.int64) for x in held.column("cls").to_pylist()])
+        links, label = np.zeros(len(cls), dtype=np.int64), np.arange(len(cls))
+        for a, b in zip(todo.column("a").to_pylist(), todo.column("b").to_pylist()):
+            same = a == b
+            to_a, to_b, root = join_intervals(found[a], found[b], same, cosine)
+            links[at[a]] += to_a
+            links[at[b]] += to_b
+            places = at[a] if same else np.concatenate([at[a], at[b]])
+            apart = np.nonzero(root != np.arange(len(root)))[0]
+            merge_labels(label, places[apart], places[root[apart]])
+        has = np.nonzero(links)[0]
+        return pa.Table.from_batches([record_batch(FOUND, cls[has], links[has], cls[label[has]])])
+
+    keys = ["_ta", "_tb"]
+    tiled = pairs.select(F.expr(f"a div {side}").alias("_ta"), F.expr(f"b div {side}").alias("_tb"), "a", "b")
+    needed = tiled.select(*keys, F.explode(F.array_distinct(F.array("a", "b"))).alias("block")).distinct()
+    sent = needed.withColumnsRenamed({"_ta": "_sa", "_tb": "_sb"}).join(blocks, "block")
+    return tiled.groupBy(*keys).cogroup(sent.groupBy("_sa", "_sb")).applyInArrow(run, "cls long, links long, root long")
 
 
 def _whole_links(near: DataFrame, placed: DataFrame, block: int, blocks: int) -> tuple[DataFrame, DataFrame]:

@@ -263,3 +263,25 @@ def test_whole_intervals_are_taken(spark, monkeypatch):
     monkeypatch.setattr(G, "multiplied", lambda pairs, *more: asked.append(pairs.count()) or real(pairs, *more))
     got = G.near_vectors(frame_).collect()
     assert asked == [0] and {r.n_links for r in got} == {299} and {r.component_id for r in got} == {0}
+
+
+def test_pairs_of_blocks_go_to_tasks_in_tiles(spark, monkeypatch):
+    """A tile gives each of its vectors once, however many of its pairs the vector has links in."""
+    for name, value in (("BLOCK", 16), ("LEAF", 4), ("PAIRS", 9), ("TILES", 1)):
+        monkeypatch.setattr(G, name, value)
+    rows = vectors_near(200, 6, 3)
+    frame_ = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    counts = []
+    real = G.multiplied
+
+    def counting(pairs, blocks, *more):
+        found = real(pairs, blocks, *more)
+        counts.append((found.count(), found.groupBy("cls").count().agg({"count": "max"}).first()[0], blocks.count(), pairs.count()))
+        return found
+
+    monkeypatch.setattr(G, "multiplied", counting)
+    got = G.near_vectors(frame_, 0.9).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == links_by_brute_force(rows, 0.9)
+    ((_, most, blocks, pairs),) = counts
+    # A block meets the others in tiles of three.
+    assert pairs > 9 * 2 and most <= -(-blocks // 3) < blocks
