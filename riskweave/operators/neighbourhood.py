@@ -28,8 +28,8 @@ from riskweave.operators.skew import salted_lookup
 from riskweave.session import written_table
 
 MIN_HUB_DEGREE = 1000
-#: Hubs that are sent to every task, by names of some twenty bytes; more are joined.
-BROADCAST_HUBS = 200_000
+#: Hubs or listed nodes that are sent to every task, by names of some twenty bytes; more are joined.
+BROADCAST_NODES = 200_000
 #: Facts of an end that counts go by.
 _FACTS = {"kind": "string", "label": "string", "assoc": "long"}
 #: Bytes of one bitmap at most, 32,768 nodes, so that two bytes are a place in it.
@@ -190,7 +190,7 @@ def reach(
     plain = written_table(_adjacency(graph.edges, numbers, k), "adjacency")
     hubs = with_positions(hubs_of(plain, min_hub_degree).withColumnRenamed("node", "hub"), ["hub"], "hub_no")
     hubs = written_table(hubs.withColumn("hub_no", F.col("hub_no").cast("int")), "hubs")
-    few = F.broadcast(hubs) if hubs.count() <= BROADCAST_HUBS else hubs
+    few = F.broadcast(hubs) if hubs.count() <= BROADCAST_NODES else hubs
     adjacency = plain.join(few.select(F.col("hub").alias("next"), "hub_no"), "next", "left")
     links = written_table(_links(adjacency, few), "links")
 
@@ -589,7 +589,8 @@ def anomaly_nodes(found: Reach, anomalies: DataFrame, part_bytes: int = PART_BYT
                         yield pa.RecordBatch.from_arrays([names, pa.array(np.full(len(some), hop, dtype=np.int32)), pa.array(some)], names=["start", "hop", "number"])
 
     rows = merged.mapInArrow(run, "start string, hop int, number long")
-    known = found.numbers.join(anomalies.select("node", *_FACTS), "node")
+    known = written_table(found.numbers.join(anomalies.select("node", *_FACTS), "node"), "listed-nodes")
+    known = F.broadcast(known) if known.count() <= BROADCAST_NODES else known
     return rows.join(known, "number").select(
         _uid("start"), "hop", "kind", "label", F.expr("substr(node, length(label) + 2)").alias("key"), "assoc"
     )
